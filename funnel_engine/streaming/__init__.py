@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds are one-shot batch jobs; they define no
+watermark, event-time window, stateful operator or late-data rule, so there
+is no streaming operator to provide. Every operator is a plain DataFrame
+function and can be applied inside ``foreachBatch`` if a stream feeds the
+session table.
+"""
