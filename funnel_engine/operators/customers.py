@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, day_diff, flag_exact, money_sum
 from ..schema import CHURN_DAYS, CHURN_LABELS, RETENTION_HORIZONS
+from ..session import checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -66,6 +67,7 @@ def order_sequence(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS))
     )
+    checkpoint_dir(spark)
     ranged = ranged.checkpoint(eager=True)
     # Per (partition, customer): row count and position of the first row.
     stats = ranged.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_start"))

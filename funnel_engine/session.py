@@ -23,6 +23,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -43,6 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
     path = tempfile.mkdtemp(prefix="funnel-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
