@@ -32,8 +32,22 @@ DIRTY_NULL_EVERY = 11
 # -----------------------------------------------------------------------------
 
 
+# Columns of the test tables this mapping reads. Declaring them skips the
+# footer read for schema inference and is the projection pushed to the scan.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _yes_if(cond: Column) -> Column:
@@ -42,22 +56,22 @@ def _yes_if(cond: Column) -> Column:
 
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .withColumn(
-            "_h",
-            (F.col("o_orderkey") * HASH_ORDER_MULT + F.col("o_custkey") * HASH_CUST_MULT) % HASH_MOD,
-        )
     )
 
 
+def _hash() -> Column:
+    return (F.col("o_orderkey") * HASH_ORDER_MULT + F.col("o_custkey") * HASH_CUST_MULT) % HASH_MOD
+
+
 def _session_columns() -> dict[str, Column]:
-    h = F.col("_h")
+    h = _hash()
     key = F.col("o_orderkey")
     views, carts, checkouts, purchases = STAGE_THRESHOLDS
     purchased = h < purchases
@@ -101,7 +115,7 @@ def dirty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cols = _session_columns()
     key = F.col("o_orderkey")
-    purchased = F.col("_h") < STAGE_THRESHOLDS[3]
+    purchased = _hash() < STAGE_THRESHOLDS[3]
     cols["date"] = F.when(key % DIRTY_DATE_EVERY == 0, F.lit("not-a-date")).otherwise(cols["date"].cast("string"))
     cols["revenue"] = F.when(key % DIRTY_REVENUE_EVERY == 0, F.lit("n/a")).otherwise(cols["revenue"].cast("string"))
     cols["purchase_completed"] = (

@@ -24,7 +24,9 @@ EXPECTED = {
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return funnel_events(clean_sessions(micro_raw(spark))).cache()
+    df = funnel_events(clean_sessions(micro_raw(spark))).cache()
+    yield df
+    df.unpersist()
 
 
 def test_customer_rows(events):

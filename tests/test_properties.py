@@ -12,7 +12,9 @@ from funnel_engine.sources.testtables import sessions
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return funnel_events(sessions(spark, SMOKE)).cache()
+    df = funnel_events(sessions(spark, SMOKE)).cache()
+    yield df
+    df.unpersist()
 
 
 def test_totals_are_additive(events):
