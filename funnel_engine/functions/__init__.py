@@ -3,6 +3,7 @@
 from .expr import (
     as_double,
     bigint_sum,
+    currency_text,
     day_diff,
     flag_ci,
     flag_exact,
@@ -18,6 +19,7 @@ from .expr import (
 __all__ = [
     "as_double",
     "bigint_sum",
+    "currency_text",
     "day_diff",
     "flag_ci",
     "flag_exact",

@@ -73,6 +73,11 @@ def pct_text(c: Column | str, digits: int = 2) -> Column:
     return F.format_string(f"%.{digits}f%%", _c(c).cast("double") * F.lit(100.0))
 
 
+def currency_text(c: Column | str, symbol: str = "\u20b9", digits: int = 0) -> Column:
+    """Dashboard money: currency symbol, thousands separators, no decimals."""
+    return F.concat(F.lit(symbol), F.format_number(_c(c).cast("double"), digits))
+
+
 def money_text(c: Column | str, digits: int = 2) -> Column:
     """Thousands separators and fixed decimals: ``17016599.154`` -> ``'17,016,599.15'``."""
     return F.format_number(_c(c).cast("double"), digits)

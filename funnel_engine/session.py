@@ -21,6 +21,9 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a skewed join partition even when the join's output
+        # partitioning is reused by the next aggregate (costs one shuffle).
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
