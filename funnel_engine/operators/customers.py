@@ -58,11 +58,14 @@ def order_sequence(
     """Purchase rows numbered per customer by ``(order_date, session_id)``,
     NULLs last: ``user_id, session_id, order_date, revenue, order_number``."""
     spark = events.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("user_id").asc_nulls_last(), F.col("order_date").asc_nulls_last(), F.col("session_id").asc_nulls_last()]
+    orders = purchases(events, flag_col, date_col)
+    # Without an explicit count the shuffle starts at the session's (AQE
+    # initial) partition number and AQE may merge neighbouring ranges, which
+    # are still contiguous key ranges, so the numbering stays exact.
+    ranged = orders.repartitionByRange(num_partitions, *keys) if num_partitions else orders.repartitionByRange(*keys)
     ranged = (
-        purchases(events, flag_col, date_col)
-        .repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS))
