@@ -63,11 +63,14 @@ def clean_sessions(
     whose date does not parse are dropped.
     """
     df = normalise_headers(raw)
-    tokens = list(null_tokens)
+    # One literal per token, shared by every column; with more than ten values
+    # the optimizer turns the IN list into a hashed set lookup.
+    tokens = [F.lit(t) for t in null_tokens]
+    missing = F.lit(None).cast("string")
 
     def text(name: str) -> Column:
         c = F.col(name).cast("string")
-        return F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c) if tokens else c
+        return F.when(c.isin(*tokens), missing).otherwise(c) if tokens else c
 
     typed: dict[str, Column] = {}
     for name in df.columns:
