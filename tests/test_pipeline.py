@@ -87,3 +87,28 @@ def test_views(spark):
     assert {r.metric for r in long} == {"sessions", "orders"} and len(long) == 8
     top = ops.top_campaigns(ops.campaign_performance(events), 1).collect()
     assert len(top) == 1
+
+
+def test_dashboard_panels(spark, csv_source, scratch_dir):
+    from funnel_engine.plans.dashboard import load_panels
+
+    out = os.path.join(scratch_dir, "dash")
+    run(spark, csv_source, out)
+    p = load_panels(spark, out, months=["2025-11", "2025-12"], dimension="channel")
+    strip = p["kpi_strip"].first()
+    assert (strip.sessions, strip.orders) == (9, 8)
+    text = p["kpi_strip_text"].first()
+    assert text.revenue == "₹800" and text.visit_to_order == "88.9%"
+    assert p["monthly_long"].count() == 4
+    assert {r.segment for r in p["wallet_share"].collect()} == {"Paid Ads", "Organic"}
+    assert p["churn_bands"].count() == 3
+    with pytest.raises(ValueError):
+        load_panels(spark, out, months=["1990-01"])
+
+
+def test_cli(spark, csv_source, scratch_dir, capsys):
+    from funnel_engine.__main__ import main
+
+    assert main(["--source", csv_source, "--out", os.path.join(scratch_dir, "cli")]) == 0
+    printed = capsys.readouterr().out.splitlines()
+    assert printed[3] == "Sessions: 13"
