@@ -1,15 +1,15 @@
 """Campaign matrix (channel x campaign type) and its script variant.
 
-The share of total revenue divides each group by the grand total. The total
-is a one-row global aggregate over the grouped result, attached with a
-broadcast cross join: its size is exactly one row whatever the data, and the
-grouped rows never have to meet in a single task (an unpartitioned window
-would pull them all into one).
+The share of total revenue is ``SUM(SUM(revenue)) OVER ()``: a window over the
+already grouped rows (one per channel x campaign type pair), so the grouped
+aggregate is computed once. (A separately computed one-row total would be
+column-pruned differently from the grouped branch, defeating exchange reuse,
+and re-run the whole scan and aggregation.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, flag_exact, money_sum, ratio
@@ -19,10 +19,10 @@ KEYS = ["channel", "campaign_type"]
 
 
 def share_of_total(grouped: DataFrame, decimal_col: str, out_col: str = "wallet_share") -> DataFrame:
-    """Attach ``value / SUM(value) OVER ()`` using a broadcast one-row total."""
-    total = grouped.agg(F.sum(decimal_col).alias("_total"))
-    joined = grouped.crossJoin(F.broadcast(total))
-    return joined.withColumn(out_col, ratio(as_double(decimal_col), as_double("_total"))).drop("_total")
+    """Attach ``value / SUM(value) OVER ()`` to an aggregated frame (exact
+    decimal total, double ratio)."""
+    total = F.sum(decimal_col).over(Window.partitionBy())
+    return grouped.withColumn(out_col, ratio(as_double(decimal_col), as_double(total)))
 
 
 def _order(df: DataFrame) -> DataFrame:

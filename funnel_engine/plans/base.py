@@ -39,6 +39,15 @@ def funnel_events(sessions: DataFrame) -> DataFrame:
     return sessions.select(*cols)
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet under ``path`` (shared storage) and return
+    the table read back: later queries scan it with column pruning and
+    pushed-down filters, and its lineage is cut, so a lost executor costs a
+    re-read rather than a re-run of the upstream joins."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def register_views(events: DataFrame, name: str = "funnel_events") -> DataFrame:
     """Expose the base table to ``spark.sql`` under ``name``."""
     events.createOrReplaceTempView(name)
