@@ -31,8 +31,12 @@ def ratio_or_zero(num: Column | str, den: Column | str) -> Column:
 
 
 def flag_exact(c: Column | str) -> Column:
-    """1 if the text is exactly ``Yes`` (case-sensitive, untrimmed), else 0."""
-    return F.when(_c(c) == F.lit("Yes"), F.lit(1)).otherwise(F.lit(0))
+    """1 if the text is exactly ``Yes`` (case-sensitive, untrimmed), else 0.
+
+    Written with a null-safe equality (never NULL), so a downstream
+    ``flag == 1`` filter simplifies to ``c <=> 'Yes'`` and is pushed into the
+    Parquet scan."""
+    return F.when(_c(c).eqNullSafe(F.lit("Yes")), F.lit(1)).otherwise(F.lit(0))
 
 
 def flag_ci(c: Column | str) -> Column:

@@ -107,3 +107,25 @@ def test_customer_window_reuses_partitioning(events):
 def test_purchase_filter_pushed(events):
     plan = _formatted(ops.customer_orders(events))
     assert "Filter" in plan
+
+
+def test_campaign_share_single_pass(events):
+    tree = _tree(ops.campaign_performance(events))
+    assert tree.count("Scan parquet") == 4  # no second pass for the grand total
+    assert tree.count("Window") == 1
+
+
+def test_registered_queries_scan_written_table(spark):
+    import __spark_entry__ as entry
+
+    for name in ["monthly_kpis", "customer_retention_churn", "campaign_basic"]:
+        tree = _tree(entry.queries()[name](spark, SMOKE))
+        assert "SortMergeJoin" not in tree and "BroadcastHashJoin" not in tree, name
+
+
+def test_purchase_filter_reaches_parquet(spark):
+    import __spark_entry__ as entry
+
+    plan = _formatted(entry.queries()["customer_orders"](spark, SMOKE))
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")]
+    assert any("purchase_completed" in line for line in pushed)
