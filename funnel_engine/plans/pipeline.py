@@ -35,8 +35,10 @@ def run(
     raw = source if isinstance(source, DataFrame) else read_sessions(spark, source)
     label = "<DataFrame>" if isinstance(source, DataFrame) else source_path(source)
 
-    write_table(clean_sessions(raw), f"{out}/clean_sessions", fmt=fmt)
-    clean = spark.read.format(fmt).option("header", True).load(f"{out}/clean_sessions") if fmt == "csv" else spark.read.parquet(f"{out}/clean_sessions")
+    # The clean table is the pipeline's materialisation point: always Parquet
+    # (typed, prunable); ``fmt='csv'`` adds CSV copies of every output at the end.
+    write_table(clean_sessions(raw), f"{out}/clean_sessions")
+    clean = spark.read.parquet(f"{out}/clean_sessions")
     events = funnel_events(clean)
 
     small = {
@@ -61,6 +63,10 @@ def run(
     result["run_summary_lines"] = lines
 
     if fmt == "csv":
-        for name in [*small, "customer_retention_churn", "retention_summary"]:
-            write_table(result[name], f"{out}/csv/{name}", fmt="csv", single_file=name != "customer_retention_churn")
+        big = {"clean_sessions", "customer_retention_churn"}
+        result["clean_sessions"] = clean
+        for name in ["clean_sessions", *small, "customer_retention_churn", "retention_summary", "run_summary"]:
+            write_table(result[name], f"{out}/csv/{name}", fmt="csv", single_file=name not in big)
+    else:
+        result["clean_sessions"] = clean
     return result

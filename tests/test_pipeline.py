@@ -112,3 +112,12 @@ def test_cli(spark, csv_source, scratch_dir, capsys):
     assert main(["--source", csv_source, "--out", os.path.join(scratch_dir, "cli")]) == 0
     printed = capsys.readouterr().out.splitlines()
     assert printed[3] == "Sessions: 13"
+
+
+def test_pipeline_csv_outputs(spark, csv_source, scratch_dir):
+    out = os.path.join(scratch_dir, "csvout")
+    res = run(spark, csv_source, out, fmt="csv")
+    assert res["retention_summary"].first().purchasers == 6
+    back = spark.read.option("header", True).csv(os.path.join(out, "csv", "funnel_summary"))
+    assert back.count() == 5
+    assert spark.read.option("header", True).csv(os.path.join(out, "csv", "clean_sessions")).count() == 13
