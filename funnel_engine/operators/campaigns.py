@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, flag_exact, money_sum, ratio
-from ..schema import DIMENSIONS  # noqa: F401  (channel / campaign_type are dimensions)
+from .grouping import sums_and_distinct
 
 KEYS = ["channel", "campaign_type"]
 
@@ -30,14 +30,17 @@ def _order(df: DataFrame) -> DataFrame:
 
 
 def campaign_performance(events: DataFrame, ordered: bool = True) -> DataFrame:
-    grouped = events.groupBy(*KEYS).agg(
-        F.count("session_id").alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
-        bigint_sum("cart_flag").alias("carts"),
-        bigint_sum("checkout_flag").alias("checkouts"),
-        bigint_sum("order_flag").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
-        bigint_sum("discount_flag").alias("discounted_sessions"),
+    grouped = sums_and_distinct(
+        events,
+        KEYS,
+        [
+            F.count("session_id").alias("sessions"),
+            bigint_sum("cart_flag").alias("carts"),
+            bigint_sum("checkout_flag").alias("checkouts"),
+            bigint_sum("order_flag").alias("orders"),
+            money_sum("revenue").alias("_revenue"),
+            bigint_sum("discount_flag").alias("discounted_sessions"),
+        ],
     )
     shared = share_of_total(grouped, "_revenue")
     revenue = as_double("_revenue")
@@ -56,11 +59,14 @@ def campaign_performance(events: DataFrame, ordered: bool = True) -> DataFrame:
 def campaign_basic(sessions: DataFrame, ordered: bool = True) -> DataFrame:
     """Script variant over the raw table: sessions = ``COUNT(*)``, orders from
     the raw purchase text, conversion, revenue per session, wallet share."""
-    grouped = sessions.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
-        bigint_sum(flag_exact("purchase_completed")).alias("orders"),
-        money_sum("revenue").alias("_revenue"),
+    grouped = sums_and_distinct(
+        sessions,
+        KEYS,
+        [
+            F.count(F.lit(1)).alias("sessions"),
+            bigint_sum(flag_exact("purchase_completed")).alias("orders"),
+            money_sum("revenue").alias("_revenue"),
+        ],
     )
     shared = share_of_total(grouped, "_revenue")
     revenue = as_double("_revenue")

@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, money_sum, ratio
+from .grouping import sums_and_distinct
 
 
 def executive_kpis(events: DataFrame) -> DataFrame:
     """sessions (``COUNT(*)``), distinct users, orders, revenue, visit-to-order rate, AOV."""
-    agg = events.agg(
-        F.count(F.lit(1)).alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
-        bigint_sum("order_flag").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
+    agg = sums_and_distinct(
+        events,
+        [],
+        [
+            F.count(F.lit(1)).alias("sessions"),
+            bigint_sum("order_flag").alias("orders"),
+            money_sum("revenue").alias("_revenue"),
+        ],
     )
     revenue = as_double("_revenue")
     return agg.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, money_sum, ratio
+from .grouping import sums_and_distinct
 
 
 def session_count(mode: str = "ids") -> Column:
@@ -21,20 +22,21 @@ def monthly_kpis(events: DataFrame, session_count_mode: str = "ids", ordered: bo
     """Per month: sessions, distinct users, stage counts, orders, revenue,
     discounted sessions, visit-to-order rate, AOV and discount usage rate.
 
-    ``COUNT(DISTINCT user_id)`` is planned by Spark as a partial aggregate on
-    ``(month, user_id)`` before the shuffle, so a hot month or a hot user is
-    pre-collapsed per task and spread over partitions by the user key.
+    The sums fold map-side to one row per month and task; distinct users
+    shuffle only de-duplicated ``(month, user_id)`` pairs, so a hot month is
+    spread over partitions by user and a hot user is collapsed per task
+    (see ``grouping.sums_and_distinct``).
     """
-    agg = events.groupBy("month").agg(
+    aggs = [
         session_count(session_count_mode).alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
         bigint_sum("viewed_flag").alias("product_views"),
         bigint_sum("cart_flag").alias("cart_adds"),
         bigint_sum("checkout_flag").alias("checkouts"),
         bigint_sum("order_flag").alias("orders"),
         money_sum("revenue").alias("_revenue"),
         bigint_sum("discount_flag").alias("discounted_sessions"),
-    )
+    ]
+    agg = sums_and_distinct(events, ["month"], aggs)
     out = agg.select(
         "month", "sessions", "users", "product_views", "cart_adds", "checkouts", "orders",
         as_double("_revenue").alias("revenue"),

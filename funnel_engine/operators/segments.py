@@ -1,10 +1,11 @@
 """Segment rollup over several single-column groupings and wallet share.
 
-All groupings come from ONE ``GROUPING SETS`` aggregate: one scan of the base
-table, one ``Expand`` that emits each row once per dimension (narrow
-projection only), then the usual partial/final aggregation. The dimension
-label is decoded from ``grouping_id()``, so a genuinely NULL segment value
-stays its own group.
+All groupings come from ``GROUPING SETS`` (an ``Expand`` that emits each row
+once per dimension, narrow projection only) instead of one aggregate per
+dimension. The sums fold map-side to one row per segment and task; distinct
+users shuffle only de-duplicated ``(segment, user_id)`` pairs (see
+``grouping.sets_and_distinct``). The dimension label is decoded from
+``grouping_id()``, so a genuinely NULL segment value stays its own group.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, money_sum, ratio
 from ..schema import DIMENSIONS
+from .grouping import sets_and_distinct
 from .monthly import session_count
 
 ROLLUP_COLUMNS = [
@@ -33,16 +35,18 @@ def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: st
         *[F.col(d).cast("string").alias(d) for d in dims],
         "user_id", "session_id", "viewed_flag", "cart_flag", "checkout_flag", "order_flag", "revenue", "discount_flag",
     )
-    agg = narrow.groupingSets([[d] for d in dims], *dims).agg(
-        F.grouping_id().alias("_gid"),
-        session_count(session_count_mode).alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
-        bigint_sum("viewed_flag").alias("views"),
-        bigint_sum("cart_flag").alias("carts"),
-        bigint_sum("checkout_flag").alias("checkouts"),
-        bigint_sum("order_flag").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
-        bigint_sum("discount_flag").alias("discounted_sessions"),
+    agg = sets_and_distinct(
+        narrow,
+        dims,
+        [
+            session_count(session_count_mode).alias("sessions"),
+            bigint_sum("viewed_flag").alias("views"),
+            bigint_sum("cart_flag").alias("carts"),
+            bigint_sum("checkout_flag").alias("checkouts"),
+            bigint_sum("order_flag").alias("orders"),
+            money_sum("revenue").alias("_revenue"),
+            bigint_sum("discount_flag").alias("discounted_sessions"),
+        ],
     )
     # grouping_id() has a 1-bit for every column NOT in the set (first column = highest bit).
     gid = {d: (2**n - 1) ^ (1 << (n - 1 - i)) for i, d in enumerate(dims)}

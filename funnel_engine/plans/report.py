@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_double, bigint_sum, money_sum, money_text, pct_text, ratio
 from ..operators.funnel import top_dropoff
+from ..operators.grouping import sums_and_distinct
 from ..operators.views import top_campaign
 
 TITLE = "Quick-Commerce Growth Command Center Run Summary"
@@ -19,13 +20,16 @@ TITLE = "Quick-Commerce Growth Command Center Run Summary"
 
 def run_totals(clean: DataFrame) -> DataFrame:
     """Date range, sessions (rows), distinct users, case-insensitive orders, revenue."""
-    agg = clean.agg(
-        F.min("date").alias("_min"),
-        F.max("date").alias("_max"),
-        F.count(F.lit(1)).alias("sessions"),
-        F.countDistinct("user_id").alias("users"),
-        bigint_sum("purchase_completed_flag").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
+    agg = sums_and_distinct(
+        clean,
+        [],
+        [
+            F.min("date").alias("_min"),
+            F.max("date").alias("_max"),
+            F.count(F.lit(1)).alias("sessions"),
+            bigint_sum("purchase_completed_flag").alias("orders"),
+            money_sum("revenue").alias("_revenue"),
+        ],
     )
     return agg.select(
         F.col("_min").cast("date").alias("start_date"),
