@@ -17,6 +17,7 @@ of one customer's order rows into a single task.
   partitions gives the row number. The range-partitioned frame is checkpointed
   to the session's checkpoint folder, so both passes over it see the same
   partitions and a lost executor does not change them.
+* The analysis end date reaches the customer rows as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import as_double, day_diff, flag_exact, money_sum
 from ..schema import CHURN_DAYS, CHURN_LABELS, RETENTION_HORIZONS
 from ..session import checkpoint_dir
+from .grouping import join_null_safe
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
 
@@ -40,15 +42,6 @@ def purchases(events: DataFrame, flag_col: str = "order_flag", date_col: str = "
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
-
-
 def order_sequence(
     events: DataFrame,
     num_partitions: int | None = None,
@@ -76,7 +69,7 @@ def order_sequence(
     stats = ranged.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_start"))
     earlier = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
-    numbered = _null_safe_join(ranged, offsets.select("_pid", "user_id", "_start", "_before"), ["_pid", "user_id"])
+    numbered = join_null_safe(ranged, offsets.select("_pid", "user_id", "_start", "_before"), ["_pid", "user_id"])
     return numbered.select(
         "user_id", "session_id", "order_date", "revenue",
         (F.col("_pos") - F.col("_start") + F.col("_before") + F.lit(1)).cast("long").alias("order_number"),
@@ -107,10 +100,6 @@ def analysis_window(events: DataFrame, date_col: str = "event_date") -> DataFram
     return events.agg(F.max(date_col).alias("analysis_end_date"))
 
 
-def _as_of_frame(events: DataFrame, as_of) -> DataFrame:
-    return events.sparkSession.range(1).select(F.lit(str(as_of)).cast("date").alias("analysis_end_date"))
-
-
 def retained(days_to_second: Column, second: Column, horizon: int) -> Column:
     """1 if a second order exists 0..horizon days after the first (inclusive)."""
     return F.when(second.isNotNull() & days_to_second.between(0, horizon), F.lit(1)).otherwise(F.lit(0))
@@ -141,16 +130,16 @@ def customer_retention_churn(
 ) -> DataFrame:
     """One row per purchasing customer with retention flags, purchase
     frequency and churn-risk band relative to the analysis end date (the
-    latest event date, or ``as_of``). The end date is a one-row frame,
-    broadcast to every customer partition.
+    latest event date, or ``as_of``). The end date is a scalar subquery: a
+    one-row global aggregate evaluated once and attached to every customer
+    row as a value, so no join is planned.
     """
     co = customer_orders(events)
-    end = analysis_window(events) if as_of is None else _as_of_frame(events, as_of)
-    joined = co.crossJoin(F.broadcast(end))
+    end = analysis_window(events).scalar() if as_of is None else F.lit(str(as_of)).cast("date")
     first, second, last = F.col("first_order_date"), F.col("second_order_date"), F.col("last_order_date")
     to_second = day_diff(first, second)
-    since_last = day_diff(last, F.col("analysis_end_date"))
-    out = joined.select(
+    since_last = day_diff(last, end)
+    out = co.select(
         "user_id", "first_order_date", "last_order_date", "order_count", "customer_revenue", "second_order_date",
         to_second.alias("days_to_second_order"),
         since_last.alias("days_since_last_order"),

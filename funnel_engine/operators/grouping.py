@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL; the keys appear once."""
     renamed = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_rk{i}"]) for i, k in enumerate(keys)])
     return left.join(renamed, cond).drop(*[f"_rk{i}" for i in range(len(keys))])
@@ -38,13 +39,14 @@ def sums_and_distinct(
 ) -> DataFrame:
     """``GROUP BY keys`` with ``aggs`` plus ``COUNT(DISTINCT distinct) AS alias``.
 
-    With no keys this is a global aggregate (two one-row frames, cross-joined)."""
+    With no keys this is a global aggregate; the distinct count is attached
+    as a scalar subquery."""
     keys = list(keys)
     if not keys:
-        return df.agg(*aggs).crossJoin(df.agg(F.countDistinct(distinct).alias(alias)))
+        return df.agg(*aggs).withColumn(alias, df.agg(F.countDistinct(distinct)).scalar())
     sums = df.groupBy(*keys).agg(*aggs)
     users = df.select(*keys, distinct).groupBy(*keys).agg(F.countDistinct(distinct).alias(alias))
-    return _join_on(sums, users, keys)
+    return join_null_safe(sums, users, keys)
 
 
 def sets_and_distinct(
@@ -65,4 +67,4 @@ def sets_and_distinct(
         .groupingSets(sets, *dims)
         .agg(F.grouping_id().alias(gid), F.countDistinct(distinct).alias(alias))
     )
-    return _join_on(sums, users, [gid, *dims])
+    return join_null_safe(sums, users, [gid, *dims])

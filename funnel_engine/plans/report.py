@@ -1,8 +1,8 @@
 """Run summary: one typed row and its 12-line text rendering.
 
-Every input is a single-row frame (global aggregates, top-1 picks), so they
-are combined with broadcast cross joins of one-row sides; nothing is
-collected until the text is written.
+Every input is a single-row frame (global aggregates, top-1 picks); they are
+attached to the totals row as scalar subqueries, and nothing is collected
+until the text is written.
 """
 
 from __future__ import annotations
@@ -41,19 +41,20 @@ def run_totals(clean: DataFrame) -> DataFrame:
 
 
 def run_summary(clean: DataFrame, funnel: DataFrame, retention: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """One row: totals, retention rates, top campaign, biggest drop-off stage."""
-    totals = run_totals(clean)
-    ret = retention.select("first_to_second_order_rate", "d7_retention", "d14_retention", "d30_retention")
-    top = top_campaign(campaigns).select(
-        F.col("channel").alias("top_channel"),
-        F.col("campaign_type").alias("top_campaign_type"),
-        F.col("revenue").alias("top_campaign_revenue"),
-    )
-    drop = top_dropoff(funnel).select(F.col("stage").alias("biggest_dropoff_stage"))
-    return (
-        totals.crossJoin(F.broadcast(ret))
-        .crossJoin(F.broadcast(top))
-        .crossJoin(F.broadcast(drop))
+    """One row: totals, retention rates, top campaign, biggest drop-off stage.
+
+    The one-row pieces are attached to the totals row as scalar subqueries."""
+    rates = ["first_to_second_order_rate", "d7_retention", "d14_retention", "d30_retention"]
+    ret = retention.select(F.struct(*rates).alias("r")).scalar()
+    top = top_campaign(campaigns).select(F.struct("channel", "campaign_type", "revenue").alias("t")).scalar()
+    drop = top_dropoff(funnel).select("stage").scalar()
+    return run_totals(clean).select(
+        "*",
+        *[ret.getField(c).alias(c) for c in rates],
+        top.getField("channel").alias("top_channel"),
+        top.getField("campaign_type").alias("top_campaign_type"),
+        top.getField("revenue").alias("top_campaign_revenue"),
+        drop.alias("biggest_dropoff_stage"),
     )
 
 
