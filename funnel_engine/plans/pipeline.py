@@ -10,6 +10,8 @@ lost executor costs a re-read, not a re-run of the upstream plan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.campaigns import campaign_performance
@@ -47,9 +49,17 @@ def run(
         "segment_wallet_share": segment_wallet_share(events),
         "campaign_performance": campaign_performance(events),
     }
-    for name, df in small.items():
-        write_table(df, f"{out}/{name}", fmt="parquet", single_file=True)
-    write_table(customer_retention_churn(events), f"{out}/customer_retention_churn", fmt="parquet")
+    # The five outputs only depend on the written clean table: submit them as
+    # concurrent Spark jobs from driver threads so small jobs share the cores.
+    writes = {name: (df, True) for name, df in small.items()}
+    writes["customer_retention_churn"] = (customer_retention_churn(events), False)
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        futures = [
+            pool.submit(write_table, df, f"{out}/{name}", "parquet", "overwrite", single)
+            for name, (df, single) in writes.items()
+        ]
+        for f in futures:
+            f.result()
 
     result = {name: spark.read.parquet(f"{out}/{name}") for name in [*small, "customer_retention_churn"]}
     write_table(retention_summary(result["customer_retention_churn"]), f"{out}/retention_summary", single_file=True)
