@@ -134,15 +134,16 @@ def customer_retention_churn(
     one-row global aggregate evaluated once and attached to every customer
     row as a value, so no join is planned.
     """
-    co = customer_orders(events)
     end = analysis_window(events).scalar() if as_of is None else F.lit(str(as_of)).cast("date")
     first, second, last = F.col("first_order_date"), F.col("second_order_date"), F.col("last_order_date")
+    # The end date enters one projection only; later expressions read the column.
+    co = customer_orders(events).withColumn("days_since_last_order", day_diff(last, end))
     to_second = day_diff(first, second)
-    since_last = day_diff(last, end)
+    since_last = F.col("days_since_last_order")
     out = co.select(
         "user_id", "first_order_date", "last_order_date", "order_count", "customer_revenue", "second_order_date",
         to_second.alias("days_to_second_order"),
-        since_last.alias("days_since_last_order"),
+        since_last,
         F.when(F.col("order_count") > 1, F.lit(1)).otherwise(F.lit(0)).alias("repeat_buyer_flag"),
         *[retained(to_second, second, h).alias(f"retained_d{h}") for h in horizons],
         repeat_purchase_frequency(F.col("order_count"), first, last).alias("repeat_purchase_frequency"),

@@ -48,13 +48,15 @@ def run_summary(clean: DataFrame, funnel: DataFrame, retention: DataFrame, campa
     ret = retention.select(F.struct(*rates).alias("r")).scalar()
     top = top_campaign(campaigns).select(F.struct("channel", "campaign_type", "revenue").alias("t")).scalar()
     drop = top_dropoff(funnel).select("stage").scalar()
-    return run_totals(clean).select(
-        "*",
-        *[ret.getField(c).alias(c) for c in rates],
-        top.getField("channel").alias("top_channel"),
-        top.getField("campaign_type").alias("top_campaign_type"),
-        top.getField("revenue").alias("top_campaign_revenue"),
-        drop.alias("biggest_dropoff_stage"),
+    # Each subquery enters one projection; the fields are read from the columns.
+    pieces = run_totals(clean).withColumns({"_r": ret, "_t": top, "biggest_dropoff_stage": drop})
+    return pieces.select(
+        *[c for c in pieces.columns if c not in ("_r", "_t", "biggest_dropoff_stage")],
+        *[F.col("_r").getField(c).alias(c) for c in rates],
+        F.col("_t").getField("channel").alias("top_channel"),
+        F.col("_t").getField("campaign_type").alias("top_campaign_type"),
+        F.col("_t").getField("revenue").alias("top_campaign_revenue"),
+        "biggest_dropoff_stage",
     )
 
 
