@@ -136,3 +136,19 @@ def test_missing_source(spark):
 def test_dimension_guard(events):
     with pytest.raises(ValueError):
         ops.wallet_view(ops.segment_wallet_share(events), "nope")
+
+
+def test_cleaning_with_date_formats(spark):
+    from funnel_engine.schema import RAW_COLUMNS
+
+    row = {c: "Yes" for c in RAW_COLUMNS}
+    row.update(user_id="1", session_id="1", date="07/15/2025", month="x", channel="Email", order_value="5", revenue="5")
+    raw = spark.createDataFrame([[row[c] for c in RAW_COLUMNS], [*(row[c] for c in RAW_COLUMNS[:2]), "2025-08-01", *(row[c] for c in RAW_COLUMNS[3:])]], RAW_COLUMNS)
+    assert clean_sessions(raw).count() == 1  # default: ISO only
+    out = clean_sessions(raw, formats=["MM/dd/yyyy", "yyyy-MM-dd"]).orderBy("date").collect()
+    assert [r.month for r in out] == ["2025-07", "2025-08"]
+
+
+def test_customers_ordered_by_user(events):
+    ids = [r.user_id for r in ops.customer_retention_churn(events, ordered=True).collect()]
+    assert ids == sorted(ids)
