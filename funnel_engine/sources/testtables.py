@@ -108,20 +108,24 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_facts(spark, sf_dir).select(*[c.alias(n) for n, c in cols.items()])
 
 
-def dirty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-text session table with bad dates, bad money and mixed-case flags.
-
-    This is what a CSV source looks like before ``ingest.clean_sessions``.
-    """
-    cols = _session_columns()
-    key = F.col("o_orderkey")
-    purchased = _hash() < STAGE_THRESHOLDS[3]
-    cols["date"] = F.when(key % DIRTY_DATE_EVERY == 0, F.lit("not-a-date")).otherwise(cols["date"].cast("string"))
-    cols["revenue"] = F.when(key % DIRTY_REVENUE_EVERY == 0, F.lit("n/a")).otherwise(cols["revenue"].cast("string"))
+def dirty_from_sessions(sessions_df: DataFrame) -> DataFrame:
+    """All-text session table with bad dates, bad money and mixed-case flags,
+    derived row by row from the typed session table (``session_id`` is the
+    order key). This is what a CSV source looks like before
+    ``ingest.clean_sessions``."""
+    key = F.col("session_id")
+    cols = {c: F.col(c).cast("string") for c in sessions_df.columns}
+    cols["date"] = F.when(key % DIRTY_DATE_EVERY == 0, F.lit("not-a-date")).otherwise(cols["date"])
+    cols["revenue"] = F.when(key % DIRTY_REVENUE_EVERY == 0, F.lit("n/a")).otherwise(cols["revenue"])
     cols["purchase_completed"] = (
-        F.when(~purchased, F.lit("No"))
+        F.when(F.col("purchase_completed") != F.lit("Yes"), F.lit("No"))
         .when(key % DIRTY_UPPER_EVERY == 0, F.lit("YES"))
         .when(key % DIRTY_NULL_EVERY == 0, F.lit(None).cast("string"))
         .otherwise(F.lit("Yes"))
     )
-    return _order_facts(spark, sf_dir).select(*[c.cast("string").alias(n) for n, c in cols.items()])
+    return sessions_df.select(*[c.alias(n) for n, c in cols.items()])
+
+
+def dirty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty all-text variant of ``sessions``."""
+    return dirty_from_sessions(sessions(spark, sf_dir))
