@@ -33,3 +33,10 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "churn_risk" in df.columns
+
+
+@pytest.mark.parametrize("name", ["clean_sessions", "funnel_summary", "customer_retention_churn", "run_summary", "monthly_long"])
+def test_arrow_schema_matches_oracle(spark, con, name):
+    got = {f.name: str(f.type) for f in QUERIES[name](spark, SMOKE).toArrow().schema}
+    want = {f.name: str(f.type) for f in con.sql(SQL[name]).to_arrow_table().schema}
+    assert got == want
