@@ -47,7 +47,7 @@ def panels(
     Raises ``ValueError`` when the month selection is empty (checked on the
     monthly table, at most one row per month)."""
     monthly = outputs["monthly_growth_kpis"]
-    require_rows(select_months(monthly, months), "Select at least one month to view the command center.")
+    require_rows(select_months(monthly, months), "Select at least one month.")
     strip = kpi_strip(monthly, months)
     retention = outputs["retention_summary"]
     return {

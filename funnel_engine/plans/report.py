@@ -15,7 +15,7 @@ from ..operators.funnel import top_dropoff
 from ..operators.grouping import sums_and_distinct
 from ..operators.views import top_campaign
 
-TITLE = "Quick-Commerce Growth Command Center Run Summary"
+TITLE = "Funnel Analytics Run Summary"
 
 
 def run_totals(clean: DataFrame) -> DataFrame:
@@ -60,11 +60,11 @@ def run_summary(clean: DataFrame, funnel: DataFrame, retention: DataFrame, campa
     )
 
 
-def run_summary_lines(summary: DataFrame, source: str = "") -> DataFrame:
+def run_summary_lines(summary: DataFrame, source: str = "", title: str = TITLE) -> DataFrame:
     """The 12-line text report as a one-column (``value``) frame, in order."""
     s = summary
     lines = [
-        F.lit(TITLE),
+        F.lit(title),
         F.concat(F.lit("Source: "), F.lit(str(source))),
         F.concat(F.lit("Date range: "), s.start_date.cast("string"), F.lit(" to "), s.end_date.cast("string")),
         F.concat(F.lit("Sessions: "), F.format_number(s.sessions, 0)),

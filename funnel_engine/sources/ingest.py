@@ -22,7 +22,7 @@ def source_path(path: str | None = None) -> str:
     """Explicit path, else the environment override, else a local default."""
     if path:
         return str(path)
-    return os.environ.get(SOURCE_PATH_ENV, "data/raw/d2c_marketing_funnel_data.csv")
+    return os.environ.get(SOURCE_PATH_ENV, "data/raw/sessions.csv")
 
 
 def read_sessions(spark: SparkSession, path: str | None = None, fmt: str = "csv") -> DataFrame:
