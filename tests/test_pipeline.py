@@ -121,3 +121,17 @@ def test_pipeline_csv_outputs(spark, csv_source, scratch_dir):
     back = spark.read.option("header", True).csv(os.path.join(out, "csv", "funnel_summary"))
     assert back.count() == 5
     assert spark.read.option("header", True).csv(os.path.join(out, "csv", "clean_sessions")).count() == 13
+
+
+def test_pipeline_on_test_tables_matches_oracle(spark, scratch_dir):
+    from check_oracle import compare, duck
+    from conftest import SMOKE
+
+    from funnel_engine.oracle import pipeline_sql
+    from funnel_engine.sources.testtables import dirty_sessions
+
+    res = run(spark, dirty_sessions(spark, SMOKE), os.path.join(scratch_dir, "tt"))
+    con = duck(SMOKE)
+    for name, sql in pipeline_sql().items():
+        ok, msg = compare(res[name].toPandas(), con.execute(sql).df())
+        assert ok, f"{name}: {msg}"
