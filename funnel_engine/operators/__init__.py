@@ -11,6 +11,7 @@ from .customers import (
 )
 from .executive import executive_kpis
 from .funnel import funnel_summary, stage_counts, top_dropoff
+from .grouping import join_null_safe, sets_and_distinct, sums_and_distinct
 from .monthly import monthly_kpis, monthly_kpis_basic
 from .retention import retention_asof, retention_summary
 from .segments import segment_rollup, segment_wallet_share
@@ -36,6 +37,7 @@ __all__ = [
     "customer_retention_churn",
     "executive_kpis",
     "funnel_summary",
+    "join_null_safe",
     "kpi_strip",
     "monthly_kpis",
     "monthly_kpis_basic",
@@ -48,8 +50,10 @@ __all__ = [
     "segment_rollup",
     "segment_wallet_share",
     "select_months",
+    "sets_and_distinct",
     "share_of_total",
     "stage_counts",
+    "sums_and_distinct",
     "top_campaign",
     "top_campaigns",
     "top_dropoff",
