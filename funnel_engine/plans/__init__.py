@@ -1,5 +1,5 @@
 """Plans: the shared base table, the batch pipeline and the run report."""
 
-from .base import funnel_events, register_views
+from .base import funnel_events, materialize, register_kpi_views, register_views
 
-__all__ = ["funnel_events", "register_views"]
+__all__ = ["funnel_events", "materialize", "register_kpi_views", "register_views"]

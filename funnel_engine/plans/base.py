@@ -52,3 +52,44 @@ def register_views(events: DataFrame, name: str = "funnel_events") -> DataFrame:
     """Expose the base table to ``spark.sql`` under ``name``."""
     events.createOrReplaceTempView(name)
     return events
+
+
+def register_kpi_views(sessions: DataFrame, raw_name: str = "sessions") -> dict[str, DataFrame]:
+    """Register the raw session table, the base table and every KPI as temp
+    views, so SQL users can query them with ``spark.sql`` (each view is a lazy
+    plan; nothing runs until a query reads it). Returns the registered frames."""
+    from ..operators import (
+        campaign_basic,
+        campaign_performance,
+        customer_retention_churn,
+        executive_kpis,
+        funnel_summary,
+        monthly_kpis,
+        monthly_kpis_basic,
+        retention_asof,
+        retention_summary,
+        segment_wallet_share,
+        stage_counts,
+    )
+
+    events = funnel_events(sessions)
+    customers = customer_retention_churn(events)
+    views = {
+        raw_name: sessions,
+        "funnel_events": events,
+        "executive_kpis": executive_kpis(events),
+        "funnel_stage_counts": stage_counts(events),
+        "funnel_summary": funnel_summary(events),
+        "monthly_growth_kpis": monthly_kpis(events),
+        "monthly_kpis_basic": monthly_kpis_basic(events),
+        "segment_wallet_share": segment_wallet_share(events),
+        "segment_wallet_share_rows": segment_wallet_share(events, session_count_mode="rows"),
+        "campaign_performance": campaign_performance(events),
+        "campaign_basic": campaign_basic(sessions),
+        "customer_retention_churn": customers,
+        "retention_summary": retention_summary(customers),
+        "retention_asof": retention_asof(sessions),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views

@@ -135,3 +135,15 @@ def test_pipeline_on_test_tables_matches_oracle(spark, scratch_dir):
     for name, sql in pipeline_sql().items():
         ok, msg = compare(res[name].toPandas(), con.execute(sql).df())
         assert ok, f"{name}: {msg}"
+
+
+def test_sql_views(spark):
+    from funnel_engine.plans.base import register_kpi_views
+    from funnel_engine.sources.ingest import typed_sessions
+
+    register_kpi_views(typed_sessions(micro_raw(spark)))
+    r = spark.sql("SELECT purchasers, repeat_buyers FROM retention_summary").first()
+    assert (r.purchasers, r.repeat_buyers) == (6, 5)
+    top = spark.sql("SELECT channel FROM campaign_performance ORDER BY revenue DESC LIMIT 1").first()
+    assert top.channel == "Paid Ads"
+    assert spark.sql("SELECT COUNT(*) AS n FROM funnel_events").first().n == 13
