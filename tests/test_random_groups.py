@@ -60,3 +60,29 @@ def test_rollup_and_monthly(spark, rows):
     assert got_m == _brute(pdf, "month")
     ex = ops.executive_kpis(sdf).first()
     assert (ex.sessions, ex.users) == (len(pdf), len({u for u in pdf.user_id if _key(u) is not None}))
+
+
+def test_null_keys_with_sort_merge_join(spark):
+    """The NULL-safe join of sums and distinct counts also holds when it is
+    planned as a sort-merge join (as at cluster scale)."""
+    rows = [
+        (1, None, "a", "a", "a", "a", None, 1, 100),
+        (2, None, "b", "a", None, "a", "2025-01", 0, 0),
+        (2, "a", None, None, "a", None, "2025-01", 1, 250),
+        (None, "a", "a", "b", "b", "b", None, 1, 50),
+        (3, "b", "b", "b", None, None, "2025-02", 0, 0),
+    ]
+    sdf, pdf = _events(spark, rows)
+    saved = {k: spark.conf.get(k) for k in ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        rollup = ops.segment_rollup(sdf)
+        assert "SortMergeJoin" in rollup._jdf.queryExecution().executedPlan().toString()
+        got = {(r.dimension, r.segment): (r.sessions, r.users, r.orders, round(r.revenue, 2)) for r in rollup.collect()}
+        got_m = {r.month: (r.sessions, r.users, r.orders, round(r.revenue, 2)) for r in ops.monthly_kpis(sdf).collect()}
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert got == {(d, k): v for d in DIMENSIONS for k, v in _brute(pdf, d).items()}
+    assert got_m == _brute(pdf, "month")
