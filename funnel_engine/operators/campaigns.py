@@ -29,7 +29,7 @@ def _order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("revenue").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in KEYS])
 
 
-def campaign_performance(events: DataFrame, ordered: bool = True) -> DataFrame:
+def campaign_performance(events: DataFrame, ordered: bool = True, split_distinct: bool = True) -> DataFrame:
     grouped = sums_and_distinct(
         events,
         KEYS,
@@ -41,6 +41,7 @@ def campaign_performance(events: DataFrame, ordered: bool = True) -> DataFrame:
             money_sum("revenue").alias("_revenue"),
             bigint_sum("discount_flag").alias("discounted_sessions"),
         ],
+        split=split_distinct,
     )
     shared = share_of_total(grouped, "_revenue")
     revenue = as_double("_revenue")
@@ -56,7 +57,7 @@ def campaign_performance(events: DataFrame, ordered: bool = True) -> DataFrame:
     return _order(out) if ordered else out
 
 
-def campaign_basic(sessions: DataFrame, ordered: bool = True) -> DataFrame:
+def campaign_basic(sessions: DataFrame, ordered: bool = True, split_distinct: bool = True) -> DataFrame:
     """Script variant over the raw table: sessions = ``COUNT(*)``, orders from
     the raw purchase text, conversion, revenue per session, wallet share."""
     grouped = sums_and_distinct(
@@ -67,6 +68,7 @@ def campaign_basic(sessions: DataFrame, ordered: bool = True) -> DataFrame:
             bigint_sum(flag_exact("purchase_completed")).alias("orders"),
             money_sum("revenue").alias("_revenue"),
         ],
+        split=split_distinct,
     )
     shared = share_of_total(grouped, "_revenue")
     revenue = as_double("_revenue")

@@ -9,7 +9,7 @@ from ..functions.expr import as_double, bigint_sum, money_sum, ratio
 from .grouping import sums_and_distinct
 
 
-def executive_kpis(events: DataFrame) -> DataFrame:
+def executive_kpis(events: DataFrame, split_distinct: bool = True) -> DataFrame:
     """sessions (``COUNT(*)``), distinct users, orders, revenue, visit-to-order rate, AOV."""
     agg = sums_and_distinct(
         events,
@@ -19,6 +19,7 @@ def executive_kpis(events: DataFrame) -> DataFrame:
             bigint_sum("order_flag").alias("orders"),
             money_sum("revenue").alias("_revenue"),
         ],
+        split=split_distinct,
     )
     revenue = as_double("_revenue")
     return agg.select(

@@ -36,12 +36,16 @@ def sums_and_distinct(
     aggs: Sequence[Column],
     distinct: str = "user_id",
     alias: str = "users",
+    split: bool = True,
 ) -> DataFrame:
     """``GROUP BY keys`` with ``aggs`` plus ``COUNT(DISTINCT distinct) AS alias``.
 
     With no keys this is a global aggregate; the distinct count is attached
-    as a scalar subquery."""
+    as a scalar subquery. ``split=False`` uses Spark's combined plan (one read
+    of ``df``), for inputs that are expensive to compute twice."""
     keys = list(keys)
+    if not split:
+        return df.groupBy(*keys).agg(*aggs, F.countDistinct(distinct).alias(alias))
     if not keys:
         return df.agg(*aggs).withColumn(alias, df.agg(F.countDistinct(distinct)).scalar())
     sums = df.groupBy(*keys).agg(*aggs)
@@ -56,11 +60,14 @@ def sets_and_distinct(
     distinct: str = "user_id",
     alias: str = "users",
     gid: str = "_gid",
+    split: bool = True,
 ) -> DataFrame:
     """``GROUPING SETS ((d1), (d2), ...)`` with ``aggs`` and a distinct count;
     each row carries ``grouping_id()`` as ``gid``."""
     dims = list(dims)
     sets = [[d] for d in dims]
+    if not split:
+        return df.groupingSets(sets, *dims).agg(F.grouping_id().alias(gid), *aggs, F.countDistinct(distinct).alias(alias))
     sums = df.groupingSets(sets, *dims).agg(F.grouping_id().alias(gid), *aggs)
     users = (
         df.select(*dims, distinct)

@@ -18,7 +18,9 @@ def session_count(mode: str = "ids") -> Column:
     raise ValueError(f"session_count must be 'ids' or 'rows', got {mode!r}")
 
 
-def monthly_kpis(events: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+def monthly_kpis(
+    events: DataFrame, session_count_mode: str = "ids", ordered: bool = True, split_distinct: bool = True
+) -> DataFrame:
     """Per month: sessions, distinct users, stage counts, orders, revenue,
     discounted sessions, visit-to-order rate, AOV and discount usage rate.
 
@@ -36,7 +38,7 @@ def monthly_kpis(events: DataFrame, session_count_mode: str = "ids", ordered: bo
         money_sum("revenue").alias("_revenue"),
         bigint_sum("discount_flag").alias("discounted_sessions"),
     ]
-    agg = sums_and_distinct(events, ["month"], aggs)
+    agg = sums_and_distinct(events, ["month"], aggs, split=split_distinct)
     out = agg.select(
         "month", "sessions", "users", "product_views", "cart_adds", "checkouts", "orders",
         as_double("_revenue").alias("revenue"),
@@ -48,9 +50,11 @@ def monthly_kpis(events: DataFrame, session_count_mode: str = "ids", ordered: bo
     return out.orderBy(F.col("month").asc_nulls_last()) if ordered else out
 
 
-def monthly_kpis_basic(events: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+def monthly_kpis_basic(
+    events: DataFrame, session_count_mode: str = "ids", ordered: bool = True, split_distinct: bool = True
+) -> DataFrame:
     """Script variant: no discount columns, no AOV, the rate is ``conversion_rate``."""
-    full = monthly_kpis(events, session_count_mode, ordered=False)
+    full = monthly_kpis(events, session_count_mode, ordered=False, split_distinct=split_distinct)
     out = full.select(
         "month", "sessions", "users", "product_views", "cart_adds", "checkouts", "orders", "revenue",
         F.col("visit_to_order_rate").alias("conversion_rate"),

@@ -26,7 +26,7 @@ ROLLUP_COLUMNS = [
 ]
 
 
-def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: str) -> DataFrame:
+def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: str, split: bool = True) -> DataFrame:
     dims = list(dimensions)
     if not dims:
         raise ValueError("at least one dimension is required")
@@ -47,6 +47,7 @@ def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: st
             money_sum("revenue").alias("_revenue"),
             bigint_sum("discount_flag").alias("discounted_sessions"),
         ],
+        split=split,
     )
     # grouping_id() has a 1-bit for every column NOT in the set (first column = highest bit).
     gid = {d: (2**n - 1) ^ (1 << (n - 1 - i)) for i, d in enumerate(dims)}
@@ -63,10 +64,13 @@ def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: st
 
 
 def segment_rollup(
-    events: DataFrame, dimensions: Sequence[str] = DIMENSIONS, session_count_mode: str = "ids"
+    events: DataFrame,
+    dimensions: Sequence[str] = DIMENSIONS,
+    session_count_mode: str = "ids",
+    split_distinct: bool = True,
 ) -> DataFrame:
     """``dimension, segment`` plus session, user, stage, order and revenue totals."""
-    r = _rollup(events, dimensions, session_count_mode)
+    r = _rollup(events, dimensions, session_count_mode, split_distinct)
     return r.select(*[as_double("_revenue").alias("revenue") if c == "revenue" else F.col(c) for c in ROLLUP_COLUMNS])
 
 
@@ -75,6 +79,7 @@ def segment_wallet_share(
     dimensions: Sequence[str] = DIMENSIONS,
     session_count_mode: str = "ids",
     ordered: bool = True,
+    split_distinct: bool = True,
 ) -> DataFrame:
     """Rollup plus conversion, view-to-cart, checkout-to-order, AOV and the
     segment's share of its dimension's revenue.
@@ -82,7 +87,7 @@ def segment_wallet_share(
     The share's denominator is a window partitioned by dimension over the
     already aggregated rollup (a handful of rows per dimension).
     """
-    r = _rollup(events, dimensions, session_count_mode)
+    r = _rollup(events, dimensions, session_count_mode, split_distinct)
     total = F.sum("_revenue").over(Window.partitionBy("dimension"))
     revenue = as_double("_revenue")
     out = r.select(

@@ -78,3 +78,14 @@ def test_customer_orders_match_order_sequence(events):
     )
     co = ops.customer_orders(events).select(*fold.columns)
     assert sorted(map(tuple, fold.collect())) == sorted(map(tuple, co.collect()))
+
+
+def test_split_and_combined_distinct_plans_agree(events):
+    pairs = [
+        (ops.monthly_kpis(events), ops.monthly_kpis(events, split_distinct=False)),
+        (ops.segment_wallet_share(events), ops.segment_wallet_share(events, split_distinct=False)),
+        (ops.campaign_performance(events), ops.campaign_performance(events, split_distinct=False)),
+        (ops.executive_kpis(events), ops.executive_kpis(events, split_distinct=False)),
+    ]
+    for split, combined in pairs:
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, combined.collect()))
