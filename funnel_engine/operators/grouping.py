@@ -9,9 +9,14 @@ shuffle -- roughly one entry per input row, each with all sum buffers
 * the distinct count shuffles only ``(keys, user_id)`` pairs, after a
   map-side de-duplication,
 
-and the two small results are joined on the group keys (NULL-safe, since a
-NULL key is its own group). The input is read twice, so it should be a table
-scan (the pipeline's written base table), not an expensive lazy plan.
+and the two small results are combined per group key by a union and a
+final group-by (``max`` of each column: every group has exactly one row from
+each side). A group-by treats a NULL key as one group, and a filter on the
+keys (a month selection, a dimension) is pushed through the union and both
+aggregates into both scans -- a NULL-safe join would block that inference.
+The input is read twice, so it should be a table scan (the pipeline's written
+base table), not an expensive lazy plan; ``split=False`` gives Spark's
+combined one-read plan.
 """
 
 from __future__ import annotations
@@ -30,6 +35,15 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(renamed, cond).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
+def combine_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key from two frames that each hold one row per key and
+    disjoint value columns (NULL keys match NULL keys)."""
+    keys = list(keys)
+    values = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
 def sums_and_distinct(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,7 +64,7 @@ def sums_and_distinct(
         return df.agg(*aggs).withColumn(alias, df.agg(F.countDistinct(distinct)).scalar())
     sums = df.groupBy(*keys).agg(*aggs)
     users = df.select(*keys, distinct).groupBy(*keys).agg(F.countDistinct(distinct).alias(alias))
-    return join_null_safe(sums, users, keys)
+    return combine_on_keys(sums, users, keys)
 
 
 def sets_and_distinct(
@@ -74,4 +88,4 @@ def sets_and_distinct(
         .groupingSets(sets, *dims)
         .agg(F.grouping_id().alias(gid), F.countDistinct(distinct).alias(alias))
     )
-    return join_null_safe(sums, users, [gid, *dims])
+    return combine_on_keys(sums, users, [gid, *dims])

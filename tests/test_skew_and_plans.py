@@ -140,3 +140,12 @@ def test_purchase_filter_reaches_parquet(spark):
     plan = _formatted(entry.queries()["customer_orders"](spark, SMOKE))
     pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")]
     assert any("purchase_completed" in line for line in pushed)
+
+
+def test_month_selection_reaches_every_scan(spark):
+    import __spark_entry__ as entry
+
+    monthly = entry.queries()["monthly_kpis"](spark, SMOKE)
+    plan = _formatted(ops.kpi_strip(monthly, ["1995-01", "1995-02"]))
+    scans = [b for b in plan.split("\n\n") if "Scan parquet" in b and "ReadSchema" in b]
+    assert scans and all("In(month, [1995-01,1995-02])" in b for b in scans), scans
