@@ -17,7 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="funnel_engine", description="Run the funnel and retention batch pipeline.")
     p.add_argument("--source", default=None, help="session CSV (default: environment override or local path)")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="format of the clean table")
+    p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="parquet, or csv to add CSV copies of every output")
     p.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
     args = p.parse_args(argv)
 
