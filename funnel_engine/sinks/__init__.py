@@ -1,5 +1,5 @@
 """Sinks: table writers, output read-back, typed bulk loads."""
 
-from .writers import load_table, read_outputs, write_outputs, write_table
+from .writers import copy_csv_into_table, load_table, read_outputs, write_outputs, write_table
 
-__all__ = ["load_table", "read_outputs", "write_outputs", "write_table"]
+__all__ = ["copy_csv_into_table", "load_table", "read_outputs", "write_outputs", "write_table"]

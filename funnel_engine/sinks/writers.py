@@ -61,3 +61,11 @@ def read_outputs(
 def load_table(df: DataFrame, table: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Bulk load (typed) rows into a catalog table, creating it if needed."""
     df.write.mode(mode).format(fmt).saveAsTable(table)
+
+
+def copy_csv_into_table(spark: SparkSession, path: str, table: str, delimiter: str = ",", mode: str = "append") -> None:
+    """``COPY table FROM path (HEADER, DELIMITER d)``: read the CSV as text,
+    cast to the typed session schema (bad values become NULL), append."""
+    from ..sources.ingest import read_sessions, typed_sessions
+
+    load_table(typed_sessions(read_sessions(spark, path, delimiter=delimiter)), table, mode=mode)

@@ -25,12 +25,12 @@ def source_path(path: str | None = None) -> str:
     return os.environ.get(SOURCE_PATH_ENV, "data/raw/sessions.csv")
 
 
-def read_sessions(spark: SparkSession, path: str | None = None, fmt: str = "csv") -> DataFrame:
-    """Read the raw session table. CSV: header row, comma, every column text."""
+def read_sessions(spark: SparkSession, path: str | None = None, fmt: str = "csv", delimiter: str = ",") -> DataFrame:
+    """Read the raw session table. CSV: header row, ``delimiter``, every column text."""
     path = source_path(path)
     try:
         if fmt == "csv":
-            reader = spark.read.option("header", True).option("inferSchema", False)
+            reader = spark.read.option("header", True).option("inferSchema", False).option("sep", delimiter)
             return reader.csv(path)
         return spark.read.format(fmt).load(path)
     except AnalysisException as exc:

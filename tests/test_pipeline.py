@@ -147,3 +147,15 @@ def test_sql_views(spark):
     top = spark.sql("SELECT channel FROM campaign_performance ORDER BY revenue DESC LIMIT 1").first()
     assert top.channel == "Paid Ads"
     assert spark.sql("SELECT COUNT(*) AS n FROM funnel_events").first().n == 13
+
+
+def test_copy_csv_into_typed_table(spark, scratch_dir):
+    from funnel_engine.sinks.writers import copy_csv_into_table
+
+    path = os.path.join(scratch_dir, "semicolon_csv")
+    micro_raw(spark).coalesce(1).write.option("header", True).option("sep", ";").csv(path)
+    copy_csv_into_table(spark, path, "copied_sessions", delimiter=";")
+    t = spark.table("copied_sessions")
+    assert t.count() == 13
+    assert dict(t.dtypes)["date"] == "date" and dict(t.dtypes)["user_id"] == "bigint"
+    spark.sql("DROP TABLE copied_sessions")
