@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .mixing import OP1_SQL, op1_mixing
 from .quality_rules import op8_quality_rules
+from .secret_scan import op5_secret_scan
 from .sentencepiece_codec import op9_sentencepiece
 from .token_counts import op4_token_counts
+from .url_filter import OP3_SQL, op3_url_filter
+
+
+OPERATORS = (op1_mixing, op3_url_filter, op4_token_counts, op5_secret_scan, op8_quality_rules, op9_sentencepiece)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_counts, op8_quality_rules, op9_sentencepiece)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mixing": OP1_SQL, "op3_url_filter": OP3_SQL}
