@@ -27,7 +27,7 @@ from .common import map_columns, table, texts
 
 MARK = "▁"
 #: Distinct segments kept per Python worker; beyond it the cache starts anew.
-CACHE = 400_000
+CACHE = 1_000_000
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -75,12 +75,15 @@ class PieceCodec:
         self.lines_apart = not any("\n" in p for p in self.ids)
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (len(p) - 1, p))
         self.automaton.make_automaton()
+        #: The longest shorter piece that a piece starts with; its first character alone if there is none.
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in self.ids), p[0]) for p in self.ids if len(p) > 1}
         self.fits: dict[tuple[str, str], bool] = {}
         self.marked = _Memo(lambda w: self._ids_text(MARK + w))
         self.bare = _Memo(self._ids_text)
-        self.decoded = _Memo(lambda s: self._plain([int(x) for x in s[1:].split(",")]) if s else "")
+        # Decimal ids of pieces and of bytes that are characters by themselves.
+        self.shown = {str(i): t for i, t in self.text_of.items()} | {str(i): chr(b) for i, b in self.byte_of.items() if b < 128}
 
     # -- encoding ---------------------------------------------------------
 
@@ -98,36 +101,40 @@ class PieceCodec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        ok = self.fits.get(key)
-        if ok is None:
-            if len(self.fits) >= CACHE:
-                self.fits.clear()
-            ok = self.fits[key] = self._remerge(left + right) == ([left, right] if left else [right])
+        if len(self.fits) >= CACHE:
+            self.fits.clear()
+        ok = self.fits[left, right] = self._remerge(left + right) == ([left, right] if left else [right])
         return ok
 
     def pieces(self, segment: str) -> list[str]:
         n = len(segment)
-        starts: list[list[str]] = [[] for _ in range(n)]
-        for end, piece in self.automaton.iter(segment):
-            starts[end + 1 - len(piece)].append(piece)  # shortest first at each start
+        longest: list[str | None] = [None] * n
+        for end, (before_end, piece) in self.automaton.iter(segment):
+            longest[end - before_end] = piece  # ends ascend, so the longest of a start comes last
         failed = bytearray((n >> 3) + 1)
+        any_failed = False
+        fits, shorter = self.fits, self.shorter
         out: list[str] = []
-        at = 0
+        at, before = 0, ""
         while at < n:
-            before = out[-1] if out else ""
-            found = starts[at] or [segment[at]]  # a character outside the vocabulary stands alone
-            if len(found[0]) > 1:
-                found.insert(0, segment[at])
-            for piece in reversed(found):
+            piece = longest[at] or segment[at]  # a character outside the vocabulary stands alone
+            while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and self._compatible(before, piece):
-                    out.append(piece)
-                    at = end
-                    break
-            else:
+                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                    ok = fits.get((before, piece))
+                    if ok is None:
+                        ok = self._compatible(before, piece)
+                    if ok:
+                        break
+                piece = shorter.get(piece)
+            if piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 at -= len(out.pop())
+                before = out[-1] if out else ""
+            else:
+                out.append(piece)
+                at, before = end, piece
         return out
 
     def _segment_ids(self, segment: str) -> list[int]:
@@ -149,12 +156,9 @@ class PieceCodec:
         """The ids of each segment as ``,1,2``; their concatenation is the whole encoding."""
         if not text:
             return []
-        if len(self.marked) > CACHE:
-            self.marked.clear()
-            self.decoded.clear()
-        if len(self.bare) > CACHE:
-            self.bare.clear()
-            self.decoded.clear()
+        for cache in (self.marked, self.bare):
+            if len(cache) > CACHE:
+                cache.clear()
         text = self.prefix + text.replace(" ", MARK)
         if not (self.words_apart and self.lines_apart and self.fallback):
             return [self._ids_text(text)]
@@ -196,9 +200,15 @@ class PieceCodec:
         text = self._plain(ids)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
-    def decode_segments(self, segments: list[str]) -> str:
-        """Decode the concatenated ids of whole segments, each distinct one once."""
-        text = "".join(map(self.decoded.__getitem__, segments))
+    def decode_joined(self, joined: str) -> str:
+        """Decode ids given as ``,1,2``."""
+        if not joined:
+            return ""
+        listed = joined[1:].split(",")
+        try:
+            text = "".join(map(self.shown.__getitem__, listed))
+        except KeyError:  # bytes of longer characters, unknown or control ids
+            return self.decode([int(x) for x in listed])
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -240,11 +250,10 @@ def encoding_digests(docs: DataFrame, path: str | None = None, id_col: str = "do
         def call(ids, bodies):
             n, a, b = [], [], []
             for t in bodies:
-                parts = c.encoded_segments(t)
-                joined = "".join(parts)
+                joined = "".join(c.encoded_segments(t))
                 n.append(joined.count(","))
                 a.append(sha(joined[1:].encode()).hexdigest())
-                b.append(sha(c.decode_segments(parts).encode()).hexdigest())
+                b.append(sha(c.decode_joined(joined).encode()).hexdigest())
             return [ids, n, a, b]
 
         return call
