@@ -11,10 +11,11 @@ from .quality_rules import op8_quality_rules
 from .secret_scan import op5_secret_scan
 from .sentencepiece_codec import op9_sentencepiece
 from .token_counts import op4_token_counts
+from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
 
-OPERATORS = (op1_mixing, op3_url_filter, op4_token_counts, op5_secret_scan, op8_quality_rules, op9_sentencepiece)
+OPERATORS = (op1_mixing, op2_toxicity, op3_url_filter, op4_token_counts, op5_secret_scan, op8_quality_rules, op9_sentencepiece)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

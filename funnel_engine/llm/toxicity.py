@@ -29,16 +29,19 @@ from pyspark.sql import functions as F
 
 from .common import map_columns, table, texts
 
-PRIOR = 0.11
+#: Share of toxic texts where labels name no other class to estimate it from.
+PRIOR = 0.1
 THRESHOLD = 0.7
 MOST_POSITIVE = 4_000
 MOST_UNLABELLED = 8_000
 #: Hashed word features.
 BITS = 20
-#: A feature needs so many confirmed texts (the number grows with the square root of the sample).
+#: A feature needs so many confirmed texts, and so clear an excess in them.
 LEAST_TEXTS = 3
-PENALTY = 2e-4
-STEPS = 400
+LEAST_SCORE = 2.0
+LEAST_LIFT = 4.0
+PENALTY = 1e-4
+STEPS = 300
 #: Distinct words whose weights a worker keeps.
 CACHE = 400_000
 _STRIP = b".,;:!?\"'()[]{}|"
@@ -76,6 +79,16 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
+def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> list[int]:
+    """Features clearly more frequent in confirmed than in unlabelled texts: by ``LEAST_SCORE`` deviations and ``LEAST_LIFT`` times."""
+    have_p = np.bincount(np.concatenate(positive), minlength=1 << BITS)
+    have_u = np.bincount(np.concatenate(unlabelled), minlength=1 << BITS) if unlabelled else np.zeros(1 << BITS)
+    share = (have_p + have_u) / (len(positive) + len(unlabelled))
+    score = (have_p - len(positive) * share) / np.sqrt(len(positive) * share * (1 - share) + 1e-9)
+    lift = (have_p / len(positive)) / np.maximum(have_u / max(1, len(unlabelled)), 1e-9)
+    return np.flatnonzero((have_p >= LEAST_TEXTS) & (score >= LEAST_SCORE) & (lift >= LEAST_LIFT)).tolist()
+
+
 def _rows(sets: list[np.ndarray], index: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Row and column numbers of the features in ``index``."""
     got = [[index[f] for f in s.tolist() if f in index] for s in sets]
@@ -86,10 +99,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float =
     """Minimise the non-negative risk with logistic loss; the arrays are the texts' distinct features."""
     if not positive:
         return Model({}, -np.inf)
-    least = max(LEAST_TEXTS, int(np.sqrt(len(positive)) / 4))
-    seen, counts = np.unique(np.concatenate(positive) if positive else [], return_counts=True)
-    kept = seen[counts >= least].tolist()
-    index = {f: i for i, f in enumerate(kept)}
+    index = {f: i for i, f in enumerate(telling(positive, unlabelled))}
     (pr, pc), (ur, uc) = _rows(positive, index), _rows(unlabelled, index)
     n_p, n_u, d = len(positive), max(1, len(unlabelled)), len(index)
     w, b = np.zeros(d), float(np.log(prior / (1 - prior)))
@@ -121,23 +131,31 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float =
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    prior: float = PRIOR,
+    prior: float | None = None,
     most_positive: int = MOST_POSITIVE,
     most_unlabelled: int = MOST_UNLABELLED,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Model:
-    """Fit on the texts confirmed by ``labels`` (never by held-out ids) and a sample of all others."""
+    """Fit on the texts confirmed by ``labels`` (never by held-out ids) and a sample of all others.
+
+    Without a given ``prior`` the share of toxic labels is taken.
+    """
+    usable = labels.where(~held_out(F.col("doc_id")))
+    if prior is None:
+        share = usable.where("toxic IN (0, 1)").agg(F.avg("toxic")).first()[0]
+        prior = min(0.5, max(0.005, share)) if share is not None and share < 1 else PRIOR
 
     def make():
         return lambda kind, bodies: [kind, [features(t).tolist() for t in bodies]]
 
-    confirmed = labels.where(F.col("toxic") == 1).where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("string").alias("_id")).distinct()
-    order = F.xxhash64("_id", F.lit(17))
+    confirmed = usable.where(F.col("toxic") == 1).select(F.col("doc_id").cast("string").alias("_id")).distinct()
+    order = F.xxhash64("_id", F.lit(17))  # a fixed pseudo-random order
     ids = docs.select(F.col(id_col).cast("string").alias("_id")).where("_id IS NOT NULL")
     # Ids first, so that only the sample's texts are moved.
     positive = ids.join(confirmed, "_id", "left_semi").distinct().orderBy(order, "_id").limit(most_positive)
-    other = ids.where(~held_out(F.col("_id"))).join(confirmed, "_id", "left_anti").distinct().orderBy(order, "_id").limit(most_unlabelled)
+    # The prior is the one of all texts, so the unlabelled sample leaves out no confirmed ones.
+    other = ids.where(~held_out(F.col("_id"))).distinct().orderBy(order, "_id").limit(most_unlabelled)
     sample = [(r._id, 1) for r in positive.collect()] + [(r._id, 0) for r in other.collect()]
     chosen = docs.sparkSession.createDataFrame(sample, "_id string, positive int")
     own = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
