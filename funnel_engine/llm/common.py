@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from funnel_engine.session import checkpoint_dir
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: Words are runs of anything but ASCII white space (``bytes.split()`` splits alike).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -56,6 +59,10 @@ def map_columns(
                     schema=arrow,
                 )
 
+    # Workers unpickle functions of this package by name, so they must find it from any working directory.
+    paths = df.sparkSession.sparkContext.environment
+    if _ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, paths.get("PYTHONPATH")]))
     return df.mapInArrow(run, out)
 
 
