@@ -1,8 +1,19 @@
-"""Corpus pipeline: the training-data operators in sequence over ``documents``.
+"""Corpus pipeline: five training-data operators in sequence over ``documents``.
 
-Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
-writes each stage's rows as Parquet into the shared checkpoint folder and reads
-them again as the next one's ``docs``.
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes
+each stage's rows as Parquet into the shared checkpoint folder and reads them
+again as the next one's ``docs``. All stages but the last return the columns of
+``documents``:
+
+1. ``toxicity`` drops the documents that its classifier predicts toxic;
+2. ``near_duplicates`` keeps the smallest id of each group of documents whose sets
+   of five-word shingles have a similarity of 0.8 or more;
+3. ``secrets`` masks found secrets in the texts (``n_chars`` follows);
+4. ``mix`` chooses rows to target weights, a row for each epoch it is in;
+5. ``encode`` returns ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
+
+Null and empty texts are not toxic, have no duplicates and no secrets; the mix
+takes no document without words.
 """
 
 from __future__ import annotations
@@ -10,17 +21,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from funnel_engine.llm.common import stored, table
+from funnel_engine.llm.minhash_dedup import drop_near_duplicates
+from funnel_engine.llm.mixing import document_levels, mix, n_words
+from funnel_engine.llm.secret_scan import redact
 from funnel_engine.llm.sentencepiece_codec import encoding_digests
+from funnel_engine.llm.toxicity import drop_toxic, train
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mix(docs, document_levels(), n_words(F.col("text"))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece encoding and decoding of each whole text."""
     return encoding_digests(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("encode", encode)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
+    ("mix", mixed),
+    ("encode", encode),
+]
 
 #: SQL can express neither the trained models nor the encoder; tests compare with brute force.
 ORACLE_SQL: str | None = None

@@ -34,6 +34,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Workers unpickle functions of this package by name, so they must find it from any working directory."""
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))
+
+
 def map_columns(
     df: DataFrame,
     make: Callable[[], Callable[..., list]],
@@ -59,10 +66,7 @@ def map_columns(
                     schema=arrow,
                 )
 
-    # Workers unpickle functions of this package by name, so they must find it from any working directory.
-    paths = df.sparkSession.sparkContext.environment
-    if _ROOT not in paths.get("PYTHONPATH", "").split(os.pathsep):
-        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, paths.get("PYTHONPATH")]))
+    importable(df.sparkSession)
     return df.mapInArrow(run, out)
 
 

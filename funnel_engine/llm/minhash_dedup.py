@@ -15,7 +15,7 @@ all members of other components, so no link between different sets is lost to
 the shortcut, and a large group of copies never compares all its pairs.
 
 A band misses a pair at similarity ``s`` with probability ``1 - s**ROWS``; all 25
-bands of 5 miss one at 0.85 with probability 7e-7.
+bands of 5 miss one at 0.85 with probability 7e-7, one at 0.8 with 5e-5.
 
 Null and empty texts have no shingles, link with nothing and are kept; a row
 without an id links with nothing, keeps a null component and is kept. Rows that

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embedding_dedup import op7_embedding_dedup
 from .minhash_dedup import op10_minhash
 from .mixing import OP1_SQL, op1_mixing
 from .quality_rules import op8_quality_rules
@@ -16,7 +17,17 @@ from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
 
 
-OPERATORS = (op1_mixing, op2_toxicity, op3_url_filter, op4_token_counts, op5_secret_scan, op8_quality_rules, op9_sentencepiece, op10_minhash)
+OPERATORS = (
+    op1_mixing,
+    op2_toxicity,
+    op3_url_filter,
+    op4_token_counts,
+    op5_secret_scan,
+    op7_embedding_dedup,
+    op8_quality_rules,
+    op9_sentencepiece,
+    op10_minhash,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

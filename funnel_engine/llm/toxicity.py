@@ -147,7 +147,7 @@ def train(
         prior = min(0.5, max(0.005, share)) if share is not None and share < 1 else PRIOR
 
     def make():
-        return lambda kind, bodies: [kind, [features(t).tolist() for t in bodies]]
+        return lambda kind, bodies: [kind, [features(t).astype(np.int32).tobytes() for t in bodies]]
 
     confirmed = usable.where(F.col("toxic") == 1).select(F.col("doc_id").cast("string").alias("_id")).distinct()
     order = F.xxhash64("_id", F.lit(17))  # a fixed pseudo-random order
@@ -160,9 +160,9 @@ def train(
     chosen = docs.sparkSession.createDataFrame(sample, "_id string, positive int")
     own = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = own.join(F.broadcast(chosen), "_id").select("positive", "text")  # at most the two sample bounds
-    got = map_columns(rows, make, "positive int, features array<bigint>", 64).collect()
-    sets = {k: sorted((tuple(r.features) for r in got if r.positive == k)) for k in (0, 1)}
-    return fit(*([np.array(x, np.int64) for x in sets[k]] for k in (1, 0)), prior=prior)
+    got = map_columns(rows, make, "positive int, features binary", 64).collect()
+    sets = {k: [np.frombuffer(x, np.int32) for x in sorted(bytes(r.features) for r in got if r.positive == k)] for k in (0, 1)}
+    return fit(sets[1], sets[0], prior=prior)
 
 
 def scorer(model: Model) -> Callable[[str], float]:
