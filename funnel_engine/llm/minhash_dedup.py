@@ -12,12 +12,14 @@ copies make no pairs. Members of a band's bucket are first compared with the
 bucket's smallest class only. Where that leaves members of one bucket in
 different components, those outside the smallest one's component are compared with
 all members of other components, so no link between different sets is lost to
-the shortcut, and a large group of copies never compares all its pairs.
+the shortcut, and a large group of copies never compares all its pairs. That
+second comparison runs in numpy over blocks of a bucket's members, which carry
+their sets; only links that join two components leave a block.
 
 A band misses a pair at similarity ``s`` with probability ``1 - s**ROWS``; all 25
 bands of 5 miss one at 0.85 with probability 7e-7, one at 0.8 with 5e-5.
 
-Null and empty texts have no shingles, link with nothing and are kept; a row
+Ids must be integers. Null and empty texts have no shingles, link with nothing and are kept; a row
 without an id links with nothing, keeps a null component and is kept. Rows that
 repeat an id are one document: they stay or go together.
 """
@@ -25,13 +27,14 @@ repeat an id are one document: they stay or go together.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_columns, stored, table, texts
+from .common import importable, map_columns, stored, table, texts
 from .components import connected_components
 
 WORDS = 5
@@ -44,6 +47,8 @@ PERMUTATIONS = PACKED * LANES
 #: Pairs go on to the full sets unless their estimate is lower than the threshold by so much
 #: (about five standard deviations of the estimate).
 SLACK = 0.17
+#: Members of a bucket that are compared at once; larger buckets are cut into blocks.
+BLOCK = 512
 #: Distinct word hashes kept per worker.
 CACHE = 400_000
 
@@ -169,6 +174,91 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.col("n") * 100 >= (F.col("total") - F.col("n")) * percent).select("a", "b")
 
 
+def _similar(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which signatures of ``a`` (rows) and ``b`` (columns) have at least the estimate; the same as ``estimate``."""
+    odd = np.uint64(int("01" * LANES, 2))
+    differing = np.zeros((len(a), len(b)), np.int32)
+    for k in range(PACKED):
+        x = a[:, k, None] ^ b[None, :, k]
+        differing += np.bitwise_count((x | (x >> np.uint64(1))) & odd)
+    chance = 1 / (1 << BITS)
+    return (1 - differing / PERMUTATIONS - chance) / (1 - chance) >= least
+
+
+def bucket_links(key: int, rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links that join different components among rows ``(side, id, component, outside, bands, packed, shingles)`` of one bucket.
+
+    With rows of two sides only pairs across them are compared. A pair is left to
+    the first band that both share, and of the links found only those are returned
+    that join components not joined yet.
+    """
+    side, ids, comp, outside = (np.array(x) for x in list(zip(*rows, strict=True))[:4])
+    bands = np.array([r[4] for r in rows])
+    low = np.array([r[5] for r in rows]).view(np.uint64)
+    sets = [np.array(r[6], np.int64) for r in rows]
+    n = np.array([len(x) for x in sets])
+    band = int(np.flatnonzero(bands[0] == key)[0])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(n) - n
+    across = side.min() != side.max()
+    parent = {int(c): int(c) for c in comp}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    mark = np.zeros(flat.max() + 1, np.int32)
+    for at in range(0, len(rows), 64):
+        part = np.arange(at, min(at + 64, len(rows)))
+        near = _similar(low[part], low, percent / 100 - SLACK)
+        near &= np.minimum(n[part, None], n) * 100 >= np.maximum(n[part, None], n) * percent
+        near &= (comp[part, None] != comp) & outside[part, None]
+        near &= side[part, None] != side if across else (~outside | (ids[part, None] < ids))  # two outside members once
+        if across:
+            near &= ~outside | (ids[part, None] < ids)
+        for i in part[near.any(axis=1)]:
+            j = np.flatnonzero(near[i - at])
+            j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
+            if not len(j):
+                continue
+            own = flat[starts[i] : starts[i] + n[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[flat], starts)[j] if len(j) > 8 else np.array([mark[flat[starts[k] : starts[k] + n[k]]].sum() for k in j])
+            mark[own] = 0
+            for k in j[both * 100 >= (n[i] + n[j] - both) * percent]:
+                x, y = find(int(comp[i])), find(int(comp[k]))
+                if x != y:
+                    parent[x] = y
+                    links.append((int(ids[i]), int(ids[k])))
+    return links
+
+
+def _compare_buckets(percent: int):
+    """Walks rows sorted by bucket and pair of blocks."""
+
+    def batch(links):
+        a, b = zip(*links, strict=True) if links else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for b in batches:
+            for part in (b.slice(at, 256) for at in range(0, b.num_rows, 256)):
+                for r in zip(*(c.to_pylist() for c in part.columns[:9]), (x.values.to_numpy() for x in part.columns[9]), strict=True):
+                    if r[:3] != group:
+                        if len(rows) > 1:
+                            yield batch(bucket_links(group[0], rows, percent))
+                        group, rows = r[:3], []
+                    rows.append(r[3:])
+        if len(rows) > 1:
+            yield batch(bucket_links(group[0], rows, percent))
+
+    return run
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """``id, shingles`` of the documents named in ``ids(id)``."""
 
@@ -182,7 +272,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int, id_col: str, text_
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row; links join sets with ``100 * intersection >= percent * union``."""
     signed = stored(signatures(docs, words, id_col, text_col), "minhash-signatures")
@@ -212,17 +302,17 @@ def near_duplicates(
     # Round 2: members outside the component of their bucket's first with all members of other components.
     placed = members.join(found, "id", "left").select("id", "key", "first", F.coalesce("component", "id").alias("c"))
     firsts = found.select(F.col("id").alias("first"), F.col("component").alias("fc"))
-    placed = placed.join(firsts, "first", "left").select("id", "key", "c", F.coalesce("fc", "first").alias("fc"))
-    outside = placed.where("c != fc")
-    mixed = outside.select("key").distinct()
-    placed = stored(placed.join(mixed, "key", "left_semi").join(own, "id"), "minhash-mixed")
-    o = placed.where("c != fc").select("key", F.struct("id", "c", "n", "packed").alias("l"))
-    m = placed.select("key", F.struct("id", "c", "fc", "n", "packed").alias("r"))
-    # A pair of two outside members is met twice: once is enough.
-    once = (F.col("r.c") == F.col("r.fc")) | (F.col("r.id") < F.col("l.id"))
-    more = o.join(m, "key").where((F.col("l.c") != F.col("r.c")) & once & _near("l", "r", percent))
-    more = more.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    more = _confirmed(more.join(pairs, ["a", "b"], "left_anti"), sets, percent)
+    placed = placed.join(firsts, "first", "left").select("id", "key", "c", (F.col("c") != F.coalesce("fc", "first")).alias("outside"))
+    mixed = placed.groupBy("key").agg(F.max("outside").alias("mixed"), F.count("*").alias("size")).where("mixed")
+    placed = placed.join(mixed.select("key", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "key")
+    placed = placed.withColumn("side", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    groups = ["key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi")]
+    # Sets travel with the rows, so that pairs are confirmed where they meet and none is written out.
+    wide = placed.select(*groups, "side", "id", "c", "outside").join(classes.select("id", "bands", "packed"), "id").join(sets, "id")
+    wide = wide.select("key", "lo", "hi", "side", F.col("id").cast("bigint").alias("id"), F.col("c").cast("bigint").alias("c"), "outside", "bands", "packed", "shingles")
+    importable(docs.sparkSession)
+    wide = wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    more = wide.mapInArrow(_compare_buckets(percent), "a bigint, b bigint")
     links = more.union(found.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b")))
     found = connected_components(links, "minhash-round2")
 
