@@ -12,6 +12,7 @@ from .mixing import OP1_SQL, op1_mixing
 from .quality_rules import op8_quality_rules
 from .secret_scan import op5_secret_scan
 from .sentencepiece_codec import op9_sentencepiece
+from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op4_token_counts
 from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
@@ -23,6 +24,7 @@ OPERATORS = (
     op3_url_filter,
     op4_token_counts,
     op5_secret_scan,
+    op6_suffix_dedup,
     op7_embedding_dedup,
     op8_quality_rules,
     op9_sentencepiece,

@@ -40,7 +40,8 @@ BITS = 20
 LEAST_TEXTS = 3
 LEAST_SCORE = 2.0
 LEAST_LIFT = 4.0
-PENALTY = 1e-4
+#: Over the square root of the number of confirmed texts, the weight of the sparsity penalty.
+PENALTY = 2e-3
 STEPS = 300
 #: Distinct words whose weights a worker keeps.
 CACHE = 400_000
@@ -101,6 +102,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float =
         return Model({}, -np.inf)
     index = {f: i for i, f in enumerate(telling(positive, unlabelled))}
     (pr, pc), (ur, uc) = _rows(positive, index), _rows(unlabelled, index)
+    penalty /= np.sqrt(len(positive))
     n_p, n_u, d = len(positive), max(1, len(unlabelled)), len(index)
     w, b = np.zeros(d), float(np.log(prior / (1 - prior)))
     m, v, mb, vb = np.zeros(d), np.zeros(d), 0.0, 0.0
