@@ -8,12 +8,13 @@ from .expr import (
     flag_ci,
     flag_exact,
     mean,
-    money,
-    money_sum,
+    money_terms,
     money_text,
+    money_value,
     pct_text,
     ratio,
     ratio_or_zero,
+    terms_sum,
 )
 
 __all__ = [
@@ -24,10 +25,11 @@ __all__ = [
     "flag_ci",
     "flag_exact",
     "mean",
-    "money",
-    "money_sum",
+    "money_terms",
     "money_text",
+    "money_value",
     "pct_text",
     "ratio",
     "ratio_or_zero",
+    "terms_sum",
 ]

@@ -5,15 +5,19 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Money is summed exactly as a decimal with this many fraction digits and
-# turned into a double only at the surface, so the result does not depend on
-# the order in which partial sums meet.
+# Money is summed in two terms: the part that is a decimal with this many
+# fraction digits, exactly, and what that leaves of each value as a double. For
+# amounts of up to so many digits the second term is 0 and the sum does not
+# depend on the order in which partial sums meet; finer, huge, infinite or NaN
+# values keep their weight in the second term.
 MONEY_SCALE = 3
 MONEY_PRECISION = 28
+MONEY_EXACT_BELOW = 1e15
+REST = "_rest"
 
 
 def _c(c: Column | str) -> Column:
@@ -44,14 +48,25 @@ def flag_ci(c: Column | str) -> Column:
     return F.when(F.lower(_c(c)) == F.lit("yes"), F.lit(1)).otherwise(F.lit(0))
 
 
-def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Money value as an exact decimal for summing."""
-    return _c(c).try_cast(DecimalType(MONEY_PRECISION, scale))
+def money_terms(c: Column | str, name: str = "_revenue", scale: int = MONEY_SCALE) -> list[Column]:
+    """Aggregates ``name`` (exact decimal part) and ``name_rest`` (the remainder) of the sum of a money column."""
+    value = _c(c).cast("double")
+    exact = F.when(F.abs(value) < F.lit(MONEY_EXACT_BELOW), _c(c).try_cast(DecimalType(MONEY_PRECISION, scale)))
+    rest = F.coalesce(value - exact.cast("double"), value)
+    return [F.sum(exact).alias(name), F.sum(rest).alias(name + REST)]
 
 
-def money_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Exact (order-independent) decimal sum of a money column."""
-    return F.sum(money(c, scale))
+def terms_sum(name: str = "_revenue") -> list[Column]:
+    """Aggregates that add up the two terms of partial sums."""
+    return [F.sum(name).alias(name), F.sum(name + REST).alias(name + REST)]
+
+
+def money_value(name: str = "_revenue", over: WindowSpec | None = None) -> Column:
+    """The double that the two terms stand for (summed over a window if given); NULL if there was no value."""
+    exact, rest = F.col(name), F.col(name + REST)
+    if over is not None:
+        exact, rest = F.sum(exact).over(over), F.sum(rest).over(over)
+    return F.coalesce(exact.cast("double"), F.lit(0.0)) + rest
 
 
 def as_double(c: Column | str) -> Column:

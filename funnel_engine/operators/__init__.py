@@ -2,6 +2,7 @@
 customers, retention, executive) and report views."""
 
 from .campaigns import campaign_basic, campaign_performance, share_of_total
+from .cells import cells, distinct_users
 from .customers import (
     analysis_window,
     customer_orders,
@@ -18,6 +19,7 @@ from .segments import segment_rollup, segment_wallet_share
 from .views import (
     campaign_scatter,
     churn_bands,
+    dimension_wallet,
     kpi_strip,
     monthly_long,
     require_rows,
@@ -34,7 +36,10 @@ __all__ = [
     "campaign_scatter",
     "churn_bands",
     "customer_orders",
+    "cells",
     "customer_retention_churn",
+    "dimension_wallet",
+    "distinct_users",
     "executive_kpis",
     "funnel_summary",
     "join_null_safe",

@@ -12,41 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, flag_exact, money_sum, ratio
-from .grouping import sums_and_distinct
+from ..functions.expr import bigint_sum, flag_exact, money_terms, money_value, ratio
+from .cells import cell_sums, event_sums, users_by
+from .grouping import combine_on_keys, sums_and_distinct
 
 KEYS = ["channel", "campaign_type"]
+_SUMS = ["carts", "checkouts", "orders", "discounted_sessions"]
 
 
-def share_of_total(grouped: DataFrame, decimal_col: str, out_col: str = "wallet_share") -> DataFrame:
-    """Attach ``value / SUM(value) OVER ()`` to an aggregated frame (exact
-    decimal total, double ratio)."""
-    total = F.sum(decimal_col).over(Window.partitionBy())
-    return grouped.withColumn(out_col, ratio(as_double(decimal_col), as_double(total)))
+def share_of_total(grouped: DataFrame, money: str = "_revenue", out_col: str = "wallet_share") -> DataFrame:
+    """Attach ``value / SUM(value) OVER ()`` to an aggregated frame (two-term total, double ratio)."""
+    return grouped.withColumn(out_col, ratio(money_value(money), money_value(money, Window.partitionBy())))
 
 
 def _order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("revenue").desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in KEYS])
 
 
-def campaign_performance(events: DataFrame, ordered: bool = True, split_distinct: bool = True) -> DataFrame:
-    grouped = sums_and_distinct(
-        events,
-        KEYS,
-        [
-            F.count("session_id").alias("sessions"),
-            bigint_sum("cart_flag").alias("carts"),
-            bigint_sum("checkout_flag").alias("checkouts"),
-            bigint_sum("order_flag").alias("orders"),
-            money_sum("revenue").alias("_revenue"),
-            bigint_sum("discount_flag").alias("discounted_sessions"),
-        ],
-        split=split_distinct,
-    )
-    shared = share_of_total(grouped, "_revenue")
-    revenue = as_double("_revenue")
+def _finish(grouped: DataFrame, ordered: bool) -> DataFrame:
+    shared = share_of_total(grouped)
+    revenue = money_value()
     out = shared.select(
-        *KEYS, "sessions", "users", "carts", "checkouts", "orders",
+        *KEYS, "sessions", *[c for c in ["users"] if c in grouped.columns], "carts", "checkouts", "orders",
         revenue.alias("revenue"),
         "discounted_sessions",
         ratio("orders", "sessions").alias("conversion_rate"),
@@ -57,21 +44,30 @@ def campaign_performance(events: DataFrame, ordered: bool = True, split_distinct
     return _order(out) if ordered else out
 
 
+def campaign_performance(events: DataFrame, ordered: bool = True, split_distinct: bool = True, users: bool = True) -> DataFrame:
+    """Per channel and campaign type; ``users=False`` leaves the distinct count out, and with it the second read."""
+    aggs = event_sums("ids", _SUMS)
+    grouped = sums_and_distinct(events, KEYS, aggs, split=split_distinct) if users else events.groupBy(*KEYS).agg(*aggs)
+    return _finish(grouped, ordered)
+
+
+def campaigns_from_cells(cells: DataFrame, users: DataFrame, ordered: bool = True) -> DataFrame:
+    """``campaign_performance`` from folded cells and ``distinct_users``."""
+    sums = cells.groupBy(*KEYS).agg(*cell_sums("ids", _SUMS))
+    return _finish(combine_on_keys(sums, users_by(users, KEYS), KEYS), ordered)
+
+
 def campaign_basic(sessions: DataFrame, ordered: bool = True, split_distinct: bool = True) -> DataFrame:
     """Script variant over the raw table: sessions = ``COUNT(*)``, orders from
     the raw purchase text, conversion, revenue per session, wallet share."""
     grouped = sums_and_distinct(
         sessions,
         KEYS,
-        [
-            F.count(F.lit(1)).alias("sessions"),
-            bigint_sum(flag_exact("purchase_completed")).alias("orders"),
-            money_sum("revenue").alias("_revenue"),
-        ],
+        [F.count(F.lit(1)).alias("sessions"), bigint_sum(flag_exact("purchase_completed")).alias("orders"), *money_terms("revenue")],
         split=split_distinct,
     )
-    shared = share_of_total(grouped, "_revenue")
-    revenue = as_double("_revenue")
+    shared = share_of_total(grouped)
+    revenue = money_value()
     out = shared.select(
         *KEYS, "sessions", "users", "orders",
         revenue.alias("revenue"),

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, day_diff, flag_exact, money_sum
+from ..functions.expr import day_diff, flag_exact, money_terms, money_value, terms_sum
 from ..schema import CHURN_DAYS, CHURN_LABELS, RETENTION_HORIZONS
 from ..session import checkpoint_dir
 from .grouping import join_null_safe
@@ -80,7 +80,7 @@ def customer_orders(events: DataFrame, flag_col: str = "order_flag", date_col: s
     """Per customer: first, second and last order date, order count, revenue."""
     per_day = purchases(events, flag_col, date_col).groupBy("user_id", "order_date").agg(
         F.count(F.lit(1)).alias("_n"),
-        money_sum("revenue").alias("_rev"),
+        *money_terms("revenue"),
     )
     running = Window.partitionBy("user_id").orderBy(F.col("order_date").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -91,7 +91,9 @@ def customer_orders(events: DataFrame, flag_col: str = "order_flag", date_col: s
         F.min(F.when(F.col("_cum") >= 2, F.col("order_date"))).alias("second_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.sum("_n").cast("long").alias("order_count"),
-        as_double(F.sum("_rev")).alias("customer_revenue"),
+        *terms_sum(),
+    ).select(
+        "user_id", "first_order_date", "second_order_date", "last_order_date", "order_count", money_value().alias("customer_revenue")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, money_sum, ratio
+from ..functions.expr import bigint_sum, money_terms, money_value, ratio
 from .grouping import sums_and_distinct
 
 
@@ -14,14 +14,10 @@ def executive_kpis(events: DataFrame, split_distinct: bool = True) -> DataFrame:
     agg = sums_and_distinct(
         events,
         [],
-        [
-            F.count(F.lit(1)).alias("sessions"),
-            bigint_sum("order_flag").alias("orders"),
-            money_sum("revenue").alias("_revenue"),
-        ],
+        [F.count(F.lit(1)).alias("sessions"), bigint_sum("order_flag").alias("orders"), *money_terms("revenue")],
         split=split_distinct,
     )
-    revenue = as_double("_revenue")
+    revenue = money_value()
     return agg.select(
         "sessions", "users", "orders",
         revenue.alias("revenue"),

@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import ratio
 from ..schema import STAGES
+from .cells import FLAG_SUMS
 
 
 def _stage_sums(events: DataFrame) -> DataFrame:
     return events.agg(*[F.sum(flag).cast("long").alias(f"_s{i}") for i, (_, flag, _) in enumerate(STAGES, 1)])
 
 
+def _cell_sums(cells: DataFrame) -> DataFrame:
+    name = {flag: n for n, flag in FLAG_SUMS.items()}
+    return cells.agg(*[F.sum(name[flag]).cast("long").alias(f"_s{i}") for i, (_, flag, _) in enumerate(STAGES, 1)])
+
+
 def _rows(sums: DataFrame, row_for) -> DataFrame:
     structs = [row_for(i, label) for i, (_, _, label) in enumerate(STAGES, 1)]
     return sums.select(F.inline(F.array(*structs)))
@@ -47,6 +53,15 @@ def conversion_from_previous(sessions: Column, previous: Column) -> Column:
 def funnel_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Stage counts with conversion from the previous stage, conversion from
     the entry stage and drop-off from the previous stage."""
+    return _summary(_stage_sums(events), ordered)
+
+
+def funnel_from_cells(cells: DataFrame, ordered: bool = True) -> DataFrame:
+    """``funnel_summary`` from folded cells."""
+    return _summary(_cell_sums(cells), ordered)
+
+
+def _summary(sums: DataFrame, ordered: bool) -> DataFrame:
 
     def row(i: int, label: str) -> Column:
         s = F.col(f"_s{i}")
@@ -61,7 +76,7 @@ def funnel_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
             (F.lit(1.0) - conv_prev).alias("dropoff_from_previous"),
         )
 
-    out = _rows(_stage_sums(events), row)
+    out = _rows(sums, row)
     return out.orderBy("stage_order") if ordered else out
 
 

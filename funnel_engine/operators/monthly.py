@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, money_sum, ratio
-from .grouping import sums_and_distinct
+from ..functions.expr import money_value, ratio
+from .cells import cell_sums, event_sums, session_count, users_by  # noqa: F401  (session_count is part of this module's interface)
+from .grouping import combine_on_keys, sums_and_distinct
 
+_SUMS = ["views", "carts", "checkouts", "orders", "discounted_sessions"]
 
-def session_count(mode: str = "ids") -> Column:
-    """Sessions as ``COUNT(session_id)`` (``'ids'``) or ``COUNT(*)`` (``'rows'``)."""
-    if mode == "ids":
-        return F.count("session_id")
-    if mode == "rows":
-        return F.count(F.lit(1))
-    raise ValueError(f"session_count must be 'ids' or 'rows', got {mode!r}")
+
+def _finish(agg: DataFrame, ordered: bool) -> DataFrame:
+    revenue = money_value()
+    out = agg.select(
+        "month", "sessions", *[c for c in ["users"] if c in agg.columns],
+        F.col("views").alias("product_views"), F.col("carts").alias("cart_adds"), "checkouts", "orders",
+        revenue.alias("revenue"),
+        "discounted_sessions",
+        ratio("orders", "sessions").alias("visit_to_order_rate"),
+        ratio(revenue, "orders").alias("aov"),
+        ratio("discounted_sessions", "sessions").alias("discount_usage_rate"),
+    )
+    return out.orderBy(F.col("month").asc_nulls_last()) if ordered else out
 
 
 def monthly_kpis(
-    events: DataFrame, session_count_mode: str = "ids", ordered: bool = True, split_distinct: bool = True
+    events: DataFrame, session_count_mode: str = "ids", ordered: bool = True, split_distinct: bool = True, users: bool = True
 ) -> DataFrame:
     """Per month: sessions, distinct users, stage counts, orders, revenue,
     discounted sessions, visit-to-order rate, AOV and discount usage rate.
@@ -27,27 +35,19 @@ def monthly_kpis(
     The sums fold map-side to one row per month and task; distinct users
     shuffle only de-duplicated ``(month, user_id)`` pairs, so a hot month is
     spread over partitions by user and a hot user is collapsed per task
-    (see ``grouping.sums_and_distinct``).
+    (see ``grouping.sums_and_distinct``). ``users=False`` leaves the distinct
+    count out, and with it the second read.
     """
-    aggs = [
-        session_count(session_count_mode).alias("sessions"),
-        bigint_sum("viewed_flag").alias("product_views"),
-        bigint_sum("cart_flag").alias("cart_adds"),
-        bigint_sum("checkout_flag").alias("checkouts"),
-        bigint_sum("order_flag").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
-        bigint_sum("discount_flag").alias("discounted_sessions"),
-    ]
-    agg = sums_and_distinct(events, ["month"], aggs, split=split_distinct)
-    out = agg.select(
-        "month", "sessions", "users", "product_views", "cart_adds", "checkouts", "orders",
-        as_double("_revenue").alias("revenue"),
-        "discounted_sessions",
-        ratio("orders", "sessions").alias("visit_to_order_rate"),
-        ratio(as_double("_revenue"), "orders").alias("aov"),
-        ratio("discounted_sessions", "sessions").alias("discount_usage_rate"),
-    )
-    return out.orderBy(F.col("month").asc_nulls_last()) if ordered else out
+    aggs = event_sums(session_count_mode, _SUMS)
+    if not users:
+        return _finish(events.groupBy("month").agg(*aggs), ordered)
+    return _finish(sums_and_distinct(events, ["month"], aggs, split=split_distinct), ordered)
+
+
+def monthly_from_cells(cells: DataFrame, users: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+    """``monthly_kpis`` from folded cells and ``distinct_users``."""
+    sums = cells.groupBy("month").agg(*cell_sums(session_count_mode, _SUMS))
+    return _finish(combine_on_keys(sums, users_by(users, ["month"]), ["month"]), ordered)
 
 
 def monthly_kpis_basic(

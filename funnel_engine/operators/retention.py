@@ -11,19 +11,22 @@ from ..functions.expr import bigint_sum, ratio
 from ..schema import CHURN_LABELS, RETENTION_HORIZONS, SCRIPT_AS_OF
 from .customers import customer_orders, raw_purchases
 
-# Averages of doubles depend on summation order; rounded so results are stable.
-AVG_DIGITS = 9
 
-
-def retention_summary(customers: DataFrame, horizons: Sequence[int] = RETENTION_HORIZONS) -> DataFrame:
+def retention_summary(
+    customers: DataFrame, horizons: Sequence[int] = RETENTION_HORIZONS, avg_digits: int | None = None
+) -> DataFrame:
     """purchasers, repeat buyers, first-to-second rate, dN retention, average
-    purchase frequency and the high-churn-risk count and rate."""
+    purchase frequency and the high-churn-risk count and rate.
+
+    The average adds up doubles, so its last digits depend on the order in which
+    partial sums meet; ``avg_digits`` rounds it where results are compared."""
+    average = F.avg("repeat_purchase_frequency")
     high = F.when(F.col("churn_risk") == F.lit(CHURN_LABELS[2]), F.lit(1)).otherwise(F.lit(0))
     agg = customers.agg(
         F.count(F.lit(1)).alias("purchasers"),
         bigint_sum("repeat_buyer_flag").alias("repeat_buyers"),
         *[bigint_sum(f"retained_d{h}").alias(f"_r{h}") for h in horizons],
-        F.round(F.avg("repeat_purchase_frequency"), AVG_DIGITS).alias("avg_repeat_purchase_frequency"),
+        (average if avg_digits is None else F.round(average, avg_digits)).alias("avg_repeat_purchase_frequency"),
         bigint_sum(high).alias("high_churn_risk_customers"),
     )
     return agg.select(

@@ -11,56 +11,45 @@ users shuffle only de-duplicated ``(segment, user_id)`` pairs (see
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, money_sum, ratio
+from ..functions.expr import money_value, ratio
 from ..schema import DIMENSIONS
-from .grouping import sets_and_distinct
-from .monthly import session_count
+from .cells import cell_sums, event_sums, users_by
+from .grouping import combine_on_keys, sets_and_distinct
 
 ROLLUP_COLUMNS = [
     "dimension", "segment", "sessions", "users", "views", "carts", "checkouts", "orders", "revenue",
     "discounted_sessions",
 ]
+_SUMS = ["views", "carts", "checkouts", "orders", "discounted_sessions"]
+
+
+def _labelled(agg: DataFrame, dims: Sequence[str], gid: str = "_gid") -> DataFrame:
+    """Replace the dimension columns of grouping sets by ``dimension, segment``."""
+    # grouping_id() has a 1-bit for every column NOT in the set (first column = highest bit).
+    n = len(dims)
+    number = {d: (2**n - 1) ^ (1 << (n - 1 - i)) for i, d in enumerate(dims)}
+    dimension = F.lit(None).cast("string")
+    segment = F.lit(None).cast("string")
+    for d in reversed(dims):
+        dimension = F.when(F.col(gid) == number[d], F.lit(d)).otherwise(dimension)
+        segment = F.when(F.col(gid) == number[d], F.col(d)).otherwise(segment)
+    return agg.select(dimension.alias("dimension"), segment.alias("segment"), *[c for c in agg.columns if c != gid and c not in dims])
 
 
 def _rollup(events: DataFrame, dimensions: Sequence[str], session_count_mode: str, split: bool = True) -> DataFrame:
     dims = list(dimensions)
     if not dims:
         raise ValueError("at least one dimension is required")
-    n = len(dims)
     narrow = events.select(
         *[F.col(d).cast("string").alias(d) for d in dims],
         "user_id", "session_id", "viewed_flag", "cart_flag", "checkout_flag", "order_flag", "revenue", "discount_flag",
     )
-    agg = sets_and_distinct(
-        narrow,
-        dims,
-        [
-            session_count(session_count_mode).alias("sessions"),
-            bigint_sum("viewed_flag").alias("views"),
-            bigint_sum("cart_flag").alias("carts"),
-            bigint_sum("checkout_flag").alias("checkouts"),
-            bigint_sum("order_flag").alias("orders"),
-            money_sum("revenue").alias("_revenue"),
-            bigint_sum("discount_flag").alias("discounted_sessions"),
-        ],
-        split=split,
-    )
-    # grouping_id() has a 1-bit for every column NOT in the set (first column = highest bit).
-    gid = {d: (2**n - 1) ^ (1 << (n - 1 - i)) for i, d in enumerate(dims)}
-    dimension = F.lit(None).cast("string")
-    segment = F.lit(None).cast("string")
-    for d in reversed(dims):
-        dimension = F.when(F.col("_gid") == gid[d], F.lit(d)).otherwise(dimension)
-        segment = F.when(F.col("_gid") == gid[d], F.col(d)).otherwise(segment)
-    return agg.select(
-        dimension.alias("dimension"),
-        segment.alias("segment"),
-        "sessions", "users", "views", "carts", "checkouts", "orders", "_revenue", "discounted_sessions",
-    )
+    return _labelled(sets_and_distinct(narrow, dims, event_sums(session_count_mode, _SUMS), split=split), dims)
 
 
 def segment_rollup(
@@ -71,7 +60,22 @@ def segment_rollup(
 ) -> DataFrame:
     """``dimension, segment`` plus session, user, stage, order and revenue totals."""
     r = _rollup(events, dimensions, session_count_mode, split_distinct)
-    return r.select(*[as_double("_revenue").alias("revenue") if c == "revenue" else F.col(c) for c in ROLLUP_COLUMNS])
+    return r.select(*[money_value().alias("revenue") if c == "revenue" else F.col(c) for c in ROLLUP_COLUMNS])
+
+
+def _finish(rollup: DataFrame, ordered: bool) -> DataFrame:
+    revenue = money_value()
+    out = rollup.select(
+        *[revenue.alias("revenue") if c == "revenue" else F.col(c) for c in ROLLUP_COLUMNS],
+        ratio("orders", "sessions").alias("conversion_rate"),
+        ratio("carts", "views").alias("view_to_cart_rate"),
+        ratio("orders", "checkouts").alias("checkout_to_order_rate"),
+        ratio(revenue, "orders").alias("aov"),
+        ratio(revenue, money_value(over=Window.partitionBy("dimension"))).alias("wallet_share"),
+    )
+    if ordered:
+        out = out.orderBy(F.col("dimension").asc_nulls_last(), F.col("revenue").desc_nulls_last(), F.col("segment").asc_nulls_last())
+    return out
 
 
 def segment_wallet_share(
@@ -87,17 +91,11 @@ def segment_wallet_share(
     The share's denominator is a window partitioned by dimension over the
     already aggregated rollup (a handful of rows per dimension).
     """
-    r = _rollup(events, dimensions, session_count_mode, split_distinct)
-    total = F.sum("_revenue").over(Window.partitionBy("dimension"))
-    revenue = as_double("_revenue")
-    out = r.select(
-        *[revenue.alias("revenue") if c == "revenue" else F.col(c) for c in ROLLUP_COLUMNS],
-        ratio("orders", "sessions").alias("conversion_rate"),
-        ratio("carts", "views").alias("view_to_cart_rate"),
-        ratio("orders", "checkouts").alias("checkout_to_order_rate"),
-        ratio(revenue, "orders").alias("aov"),
-        ratio(revenue, as_double(total)).alias("wallet_share"),
-    )
-    if ordered:
-        out = out.orderBy(F.col("dimension").asc_nulls_last(), F.col("revenue").desc_nulls_last(), F.col("segment").asc_nulls_last())
-    return out
+    return _finish(_rollup(events, dimensions, session_count_mode, split_distinct), ordered)
+
+
+def segments_from_cells(cells: DataFrame, users: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+    """``segment_wallet_share`` over all dimensions from folded cells and ``distinct_users``."""
+    sums = cells.groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS).agg(F.grouping_id().alias("_gid"), *cell_sums(session_count_mode, _SUMS))
+    counts = [users_by(users, [d]).select(F.lit(d).alias("dimension"), F.col(d).alias("segment"), "users") for d in DIMENSIONS]
+    return _finish(combine_on_keys(_labelled(sums, DIMENSIONS), reduce(DataFrame.union, counts), ["dimension", "segment"]), ordered)

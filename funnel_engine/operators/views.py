@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, mean, money_sum, ratio_or_zero
+from ..functions.expr import bigint_sum, mean, money_terms, money_value, ratio_or_zero
 from ..schema import DIMENSIONS
 from .funnel import top_dropoff  # noqa: F401  (re-exported view)
+from .segments import segment_wallet_share
 
 
 def select_months(monthly: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
@@ -36,9 +37,9 @@ def kpi_strip(monthly: DataFrame, months: Sequence[str] | None = None) -> DataFr
     agg = select_months(monthly, months).agg(
         bigint_sum("sessions").alias("sessions"),
         bigint_sum("orders").alias("orders"),
-        money_sum("revenue").alias("_revenue"),
+        *money_terms("revenue"),
     )
-    revenue = as_double("_revenue")
+    revenue = money_value()
     return agg.select(
         "sessions", "orders", revenue.alias("revenue"),
         ratio_or_zero("orders", "sessions").alias("visit_to_order_rate"),
@@ -54,28 +55,39 @@ def monthly_long(monthly: DataFrame, months: Sequence[str] | None = None) -> Dat
     return m.unpivot(["month"], ["sessions", "orders"], "metric", "value")
 
 
-def wallet_view(segments: DataFrame, dimension: str = DIMENSIONS[0]) -> DataFrame:
-    """One dimension's segments, largest revenue share first."""
-    if dimension not in DIMENSIONS:
-        raise ValueError(f"dimension must be one of {DIMENSIONS}, got {dimension!r}")
-    return segments.where(F.col("dimension") == F.lit(dimension)).orderBy(
-        F.col("wallet_share").desc_nulls_last(), F.col("segment").asc_nulls_last()
-    )
+def wallet_view(segments: DataFrame, dimension: str = DIMENSIONS[0], dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """One dimension's segments of a written rollup, largest revenue share first.
+
+    ``dimensions`` are the ones that were rolled up. From the base table,
+    ``dimension_wallet`` folds one dimension alone."""
+    if dimension not in dimensions:
+        raise ValueError(f"dimension must be one of {list(dimensions)}, got {dimension!r}")
+    return _by_share(segments.where(F.col("dimension") == F.lit(dimension)))
+
+
+def dimension_wallet(events: DataFrame, dimension: str = DIMENSIONS[0], session_count_mode: str = "ids") -> DataFrame:
+    """``wallet_view`` from the base table: groups by the one dimension only."""
+    if dimension not in events.columns:
+        raise ValueError(f"no column {dimension!r} to group by")
+    return _by_share(segment_wallet_share(events, [dimension], session_count_mode, ordered=False))
+
+
+def _by_share(segments: DataFrame) -> DataFrame:
+    return segments.orderBy(F.col("wallet_share").desc_nulls_last(), F.col("segment").asc_nulls_last())
 
 
 def churn_bands(customers: DataFrame) -> DataFrame:
     """Per churn band: customers, revenue, average orders, average days since
-    last order; largest band first. The customer table has one row per
-    ``user_id``, so the distinct customer count is a plain count of ids
-    (no second distinct-aggregation shuffle)."""
+    last order; largest band first. Customers are distinct ids, whether or not the
+    table has one row for each."""
     agg = customers.where(F.col("churn_risk").isNotNull()).groupBy("churn_risk").agg(
-        F.count("user_id").alias("customers"),
-        money_sum("customer_revenue").alias("_revenue"),
+        F.countDistinct("user_id").alias("customers"),
+        *money_terms("customer_revenue"),
         mean("order_count").alias("avg_orders"),
         mean("days_since_last_order").alias("avg_days_since_last_order"),
     )
     return agg.select(
-        "churn_risk", "customers", as_double("_revenue").alias("revenue"), "avg_orders", "avg_days_since_last_order"
+        "churn_risk", "customers", money_value().alias("revenue"), "avg_orders", "avg_days_since_last_order"
     ).orderBy(F.col("customers").desc(), F.col("churn_risk").asc())
 
 

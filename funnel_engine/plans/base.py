@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,21 @@ BASE_COLUMNS = [
 ]
 
 
-def funnel_events(sessions: DataFrame) -> DataFrame:
+def funnel_events(sessions: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Project a (clean or typed) session table to the base table.
 
     ``date`` becomes ``event_date`` (DATE); money is DOUBLE at the surface;
     the six flags are exact ``'Yes'`` matches (case-sensitive, untrimmed),
     which is what every KPI query counts. It is a narrow projection, so
     Catalyst fuses it into each consumer's scan stage; a pipeline that reuses
-    it many times reads it back from a written table instead.
+    it many times reads it back from a written table instead. Text ids stay
+    text; other id types become bigint. ``keep`` names further columns to carry.
     """
+    kinds = dict(sessions.dtypes)
+    ids = [F.col(c) if kinds[c] == "string" else F.col(c).cast("long") for c in ("user_id", "session_id")]
     cols = [
-        F.col("user_id").cast("long").alias("user_id"),
-        F.col("session_id").cast("long").alias("session_id"),
+        ids[0].alias("user_id"),
+        ids[1].alias("session_id"),
         F.col("date").cast("date").alias("event_date"),
         F.col("month").cast("string").alias("month"),
         *[F.col(c).cast("string").alias(c) for c in ["channel", "campaign_type", "device", "user_type", "region"]],
@@ -35,6 +40,7 @@ def funnel_events(sessions: DataFrame) -> DataFrame:
         F.col("revenue").cast("double").alias("revenue"),
         *[flag_exact(raw).alias(flag) for raw, flag, _ in STAGES],
         flag_exact(DISCOUNT[0]).alias(DISCOUNT[1]),
+        *keep,
     ]
     return sessions.select(*cols)
 

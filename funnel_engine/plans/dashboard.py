@@ -22,7 +22,7 @@ from ..operators.views import (
     top_campaigns,
     wallet_view,
 )
-from ..schema import DIMENSIONS
+from ..schema import DIMENSIONS, RETENTION_HORIZONS
 from ..sinks.writers import read_outputs
 
 PANEL_SOURCES = [
@@ -40,6 +40,7 @@ def panels(
     months: Sequence[str] | None = None,
     dimension: str = DIMENSIONS[0],
     top_n: int = 20,
+    horizons: Sequence[int] = RETENTION_HORIZONS,
 ) -> dict[str, DataFrame]:
     """KPI strip, funnel, monthly sessions/orders, retention tiles, campaign
     scatter, wallet share, churn bands and the top campaign table.
@@ -50,6 +51,7 @@ def panels(
     require_rows(select_months(monthly, months), "Select at least one month.")
     strip = kpi_strip(monthly, months)
     retention = outputs["retention_summary"]
+    rates = ["first_to_second_order_rate", *[f"d{h}_retention" for h in horizons], "high_churn_risk_rate"]
     return {
         "kpi_strip": strip,
         "kpi_strip_text": strip.select(
@@ -61,9 +63,8 @@ def panels(
         ),
         "funnel": outputs["funnel_summary"].select("stage_order", "stage", "sessions", "conversion_from_visit"),
         "monthly_long": monthly_long(monthly, months),
-        "retention": retention.select(
-            "first_to_second_order_rate", "d7_retention", "d14_retention", "d30_retention", "high_churn_risk_rate"
-        ),
+        "retention": retention.select(*rates),
+        "retention_text": retention.select(*[pct_text(c, 1).alias(c) for c in rates]),
         "campaign_scatter": campaign_scatter(outputs["campaign_performance"]),
         "wallet_share": wallet_view(outputs["segment_wallet_share"], dimension),
         "churn_bands": churn_bands(outputs["customer_retention_churn"]),
@@ -76,6 +77,7 @@ def load_panels(
     out_dir: str,
     months: Sequence[str] | None = None,
     dimension: str = DIMENSIONS[0],
+    fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Read the written outputs once and build every panel."""
-    return panels(read_outputs(spark, out_dir, PANEL_SOURCES), months, dimension)
+    """Read the written outputs (CSV with its typed schemas) and build every panel."""
+    return panels(read_outputs(spark, out_dir, PANEL_SOURCES, fmt), months, dimension)

@@ -1,29 +1,43 @@
 """Batch pipeline: read -> clean -> base -> KPIs -> sinks -> run summary.
 
 Materialisation points are written tables in the output folder (which must
-be shared storage on a cluster): the cleaned session table is written once
-and every KPI reads it back (column pruning and predicate pushdown apply to
-that Parquet scan), and the per-customer table is written once before the
-retention summary and the run report read it. That cuts the lineage, so a
-lost executor costs a re-read, not a re-run of the upstream plan.
+be shared storage on a cluster). The cleaned session table is written once and
+read three times: folded to cells (every additive sum, see ``operators.cells``),
+grouped for all distinct user counts, and folded per customer. Everything else
+is built from those three small results. Each written table cuts the lineage,
+so a lost executor costs a re-read, not a re-run of the upstream plan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..operators.campaigns import campaign_performance
+from ..operators.campaigns import campaigns_from_cells
+from ..operators.cells import cells, distinct_users
 from ..operators.customers import customer_retention_churn
-from ..operators.funnel import funnel_summary
-from ..operators.monthly import monthly_kpis
+from ..operators.funnel import funnel_from_cells
+from ..operators.monthly import monthly_from_cells
 from ..operators.retention import retention_summary
-from ..operators.segments import segment_wallet_share
+from ..operators.segments import segments_from_cells
+from ..schema import OUTPUT_SCHEMAS
 from ..sinks.writers import write_table
 from ..sources.ingest import clean_sessions, read_sessions, source_path
 from .base import funnel_events
-from .report import run_summary, run_summary_lines
+from .report import run_summary, run_summary_lines, totals_from_cells, totals_sums
+
+
+def folds(clean: DataFrame) -> dict[str, DataFrame]:
+    """The three folds of the clean table that every output is built from."""
+    events = funnel_events(clean, keep=["purchase_completed_flag"])
+    return {
+        "cells": cells(events, totals_sums()),
+        "distinct_users": distinct_users(events),
+        # sorted by user at the sink (range-partitioned sort; one row per user, so no hot key)
+        "customer_retention_churn": customer_retention_churn(events, ordered=True),
+    }
 
 
 def run(
@@ -31,51 +45,60 @@ def run(
     source: str | DataFrame | None,
     out_dir: str,
     fmt: str = "parquet",
+    formats: Sequence[str] | None = None,
+    id_type: str = "bigint",
+    bad_ids: str = "fail",
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
-    """Run the whole batch and return the written outputs as DataFrames."""
+    """Run the whole batch and return the written outputs as DataFrames.
+
+    ``formats`` are the date patterns of the source, ``id_type`` and ``bad_ids`` its
+    ids (see ``clean_sessions``). The output ``cleaning_report`` counts the rows read,
+    the undated rows dropped and the ids that did not parse.
+    """
     out = out_dir.rstrip("/")
-    raw = source if isinstance(source, DataFrame) else read_sessions(spark, source)
+    raw = source if isinstance(source, DataFrame) else read_sessions(spark, source, multi_line=multi_line)
     label = "<DataFrame>" if isinstance(source, DataFrame) else source_path(source)
 
     # The clean table is the pipeline's materialisation point: always Parquet
     # (typed, prunable); ``fmt='csv'`` adds CSV copies of every output at the end.
-    write_table(clean_sessions(raw), f"{out}/clean_sessions")
+    seen = Observation("cleaning")
+    write_table(clean_sessions(raw, formats, id_type=id_type, bad_ids=bad_ids, observation=seen), f"{out}/clean_sessions")
     clean = spark.read.parquet(f"{out}/clean_sessions")
-    events = funnel_events(clean)
+    report = spark.createDataFrame([(seen.get["rows"], seen.get["undated_rows"], seen.get["bad_ids"])], OUTPUT_SCHEMAS["cleaning_report"])
 
+    def write_all(frames: dict[str, DataFrame], several: Sequence[str] = ()) -> dict[str, DataFrame]:
+        # Independent outputs: submitted as concurrent Spark jobs, so small jobs share the cores.
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            futures = [
+                pool.submit(write_table, df, f"{out}/{name}", "parquet", "overwrite", name not in several) for name, df in frames.items()
+            ]
+            for f in futures:
+                f.result()
+        return {name: spark.read.parquet(f"{out}/{name}") for name in frames}
+
+    result = {"clean_sessions": clean}
+    base = write_all(folds(clean), several=["customer_retention_churn"])
+    folded, users, customers = base["cells"], base["distinct_users"], base["customer_retention_churn"]
     small = {
-        "funnel_summary": funnel_summary(events),
-        "monthly_growth_kpis": monthly_kpis(events),
-        "segment_wallet_share": segment_wallet_share(events),
-        "campaign_performance": campaign_performance(events),
+        "funnel_summary": funnel_from_cells(folded),
+        "monthly_growth_kpis": monthly_from_cells(folded, users),
+        "segment_wallet_share": segments_from_cells(folded, users),
+        "campaign_performance": campaigns_from_cells(folded, users),
+        "retention_summary": retention_summary(customers),
+        "cleaning_report": report,
     }
-    # The five outputs only depend on the written clean table: submit them as
-    # concurrent Spark jobs from driver threads so small jobs share the cores.
-    writes = {name: (df, True) for name, df in small.items()}
-    # sorted by user at the sink (range-partitioned sort; one row per user, so no hot key)
-    writes["customer_retention_churn"] = (customer_retention_churn(events, ordered=True), False)
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        futures = [
-            pool.submit(write_table, df, f"{out}/{name}", "parquet", "overwrite", single)
-            for name, (df, single) in writes.items()
-        ]
-        for f in futures:
-            f.result()
-
-    result = {name: spark.read.parquet(f"{out}/{name}") for name in [*small, "customer_retention_churn"]}
-    write_table(retention_summary(result["customer_retention_churn"]), f"{out}/retention_summary", single_file=True)
-    result["retention_summary"] = spark.read.parquet(f"{out}/retention_summary")
-
-    summary = run_summary(clean, result["funnel_summary"], result["retention_summary"], result["campaign_performance"])
-    write_table(summary, f"{out}/run_summary", single_file=True)
-    result["run_summary"] = spark.read.parquet(f"{out}/run_summary")
+    result |= {"customer_retention_churn": customers, **write_all(small)}
+    summary = run_summary(
+        None, result["funnel_summary"], result["retention_summary"], result["campaign_performance"], totals_from_cells(folded, users)
+    )
+    result |= write_all({"run_summary": summary})
     lines = run_summary_lines(result["run_summary"], label).select("value")
     lines.coalesce(1).write.mode("overwrite").text(f"{out}/run_summary_txt")
     result["run_summary_lines"] = lines
 
-    result["clean_sessions"] = clean
     if fmt == "csv":
         big = {"clean_sessions", "customer_retention_churn"}
-        for name in ["clean_sessions", *small, "customer_retention_churn", "retention_summary", "run_summary"]:
+        for name in ["clean_sessions", *small, "customer_retention_churn", "run_summary"]:
             write_table(result[name], f"{out}/csv/{name}", fmt="csv", single_file=name not in big)
     return result

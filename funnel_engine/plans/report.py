@@ -7,15 +7,20 @@ until the text is written.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import as_double, bigint_sum, money_sum, money_text, pct_text, ratio
+from ..functions.expr import bigint_sum, money_terms, money_text, money_value, pct_text, ratio, terms_sum
+from ..operators.cells import users_by
 from ..operators.funnel import top_dropoff
 from ..operators.grouping import sums_and_distinct
 from ..operators.views import top_campaign
+from ..schema import RETENTION_HORIZONS
 
 TITLE = "Funnel Analytics Run Summary"
+MISSING = "n/a"
 
 
 def run_totals(clean: DataFrame) -> DataFrame:
@@ -28,28 +33,62 @@ def run_totals(clean: DataFrame) -> DataFrame:
             F.max("date").alias("_max"),
             F.count(F.lit(1)).alias("sessions"),
             bigint_sum("purchase_completed_flag").alias("orders"),
-            money_sum("revenue").alias("_revenue"),
+            *money_terms("revenue"),
         ],
     )
+    return _totals(agg)
+
+
+def totals_sums() -> list[Column]:
+    """What ``totals_from_cells`` needs of the cells, next to the KPIs' sums."""
+    return [
+        F.min("event_date").alias("_min"),
+        F.max("event_date").alias("_max"),
+        bigint_sum("purchase_completed_flag").alias("flagged_orders"),
+    ]
+
+
+def totals_from_cells(cells: DataFrame, users: DataFrame) -> DataFrame:
+    """``run_totals`` from folded cells (with ``totals_sums``) and ``distinct_users``."""
+    agg = cells.agg(
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        bigint_sum("session_rows").alias("sessions"),
+        bigint_sum("flagged_orders").alias("orders"),
+        *terms_sum(),
+    )
+    # No rows, no group: the count of users is 0 then.
+    return _totals(agg.withColumn("users", F.coalesce(users_by(users, []).scalar(), F.lit(0))))
+
+
+def _totals(agg: DataFrame) -> DataFrame:
     return agg.select(
         F.col("_min").cast("date").alias("start_date"),
         F.col("_max").cast("date").alias("end_date"),
         "sessions", "users", "orders",
-        as_double("_revenue").alias("revenue"),
+        money_value().alias("revenue"),
         ratio("orders", "sessions").alias("visit_to_order_rate"),
     )
 
 
-def run_summary(clean: DataFrame, funnel: DataFrame, retention: DataFrame, campaigns: DataFrame) -> DataFrame:
+def run_summary(
+    clean: DataFrame | None,
+    funnel: DataFrame,
+    retention: DataFrame,
+    campaigns: DataFrame,
+    totals: DataFrame | None = None,
+    horizons: Sequence[int] = RETENTION_HORIZONS,
+) -> DataFrame:
     """One row: totals, retention rates, top campaign, biggest drop-off stage.
 
-    The one-row pieces are attached to the totals row as scalar subqueries."""
-    rates = ["first_to_second_order_rate", "d7_retention", "d14_retention", "d30_retention"]
+    The one-row pieces are attached to the totals row as scalar subqueries.
+    ``totals`` (see ``totals_from_cells``) saves reading the clean table."""
+    rates = ["first_to_second_order_rate", *[f"d{h}_retention" for h in horizons]]
     ret = retention.select(F.struct(*rates).alias("r")).scalar()
     top = top_campaign(campaigns).select(F.struct("channel", "campaign_type", "revenue").alias("t")).scalar()
     drop = top_dropoff(funnel).select("stage").scalar()
     # Each subquery enters one projection; the fields are read from the columns.
-    pieces = run_totals(clean).withColumns({"_r": ret, "_t": top, "biggest_dropoff_stage": drop})
+    pieces = (run_totals(clean) if totals is None else totals).withColumns({"_r": ret, "_t": top, "biggest_dropoff_stage": drop})
     return pieces.select(
         *[c for c in pieces.columns if c not in ("_r", "_t", "biggest_dropoff_stage")],
         *[F.col("_r").getField(c).alias(c) for c in rates],
@@ -60,28 +99,29 @@ def run_summary(clean: DataFrame, funnel: DataFrame, retention: DataFrame, campa
     )
 
 
-def run_summary_lines(summary: DataFrame, source: str = "", title: str = TITLE) -> DataFrame:
-    """The 12-line text report as a one-column (``value``) frame, in order."""
+def run_summary_lines(
+    summary: DataFrame, source: str = "", title: str = TITLE, horizons: Sequence[int] = RETENTION_HORIZONS
+) -> DataFrame:
+    """The 12-line text report as ``line_no, value``, in order. A missing value shows as ``n/a``, so that no line is lost."""
     s = summary
+
+    def line(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit(MISSING)) for p in parts])
+
+    retained = [x for h in horizons for x in (" / ", pct_text(s[f"d{h}_retention"]))][1:]
     lines = [
-        F.lit(title),
-        F.concat(F.lit("Source: "), F.lit(str(source))),
-        F.concat(F.lit("Date range: "), s.start_date.cast("string"), F.lit(" to "), s.end_date.cast("string")),
-        F.concat(F.lit("Sessions: "), F.format_number(s.sessions, 0)),
-        F.concat(F.lit("Users: "), F.format_number(s.users, 0)),
-        F.concat(F.lit("Orders: "), F.format_number(s.orders, 0)),
-        F.concat(F.lit("Revenue: "), money_text(s.revenue)),
-        F.concat(F.lit("Visit-to-order conversion: "), pct_text(s.visit_to_order_rate)),
-        F.concat(F.lit("First-to-second order rate: "), pct_text(s.first_to_second_order_rate)),
-        F.concat(
-            F.lit("D7/D14/D30 retention: "),
-            pct_text(s.d7_retention), F.lit(" / "), pct_text(s.d14_retention), F.lit(" / "), pct_text(s.d30_retention),
-        ),
-        F.concat(
-            F.lit("Highest revenue campaign: "), s.top_channel, F.lit(" - "), s.top_campaign_type,
-            F.lit(" ("), money_text(s.top_campaign_revenue), F.lit(")"),
-        ),
-        F.concat(F.lit("Biggest funnel dropoff: "), s.biggest_dropoff_stage),
+        line(title),
+        line("Source: ", str(source)),
+        line("Date range: ", s.start_date, " to ", s.end_date),
+        line("Sessions: ", F.format_number(s.sessions, 0)),
+        line("Users: ", F.format_number(s.users, 0)),
+        line("Orders: ", F.format_number(s.orders, 0)),
+        line("Revenue: ", money_text(s.revenue)),
+        line("Visit-to-order conversion: ", pct_text(s.visit_to_order_rate)),
+        line("First-to-second order rate: ", pct_text(s.first_to_second_order_rate)),
+        line("/".join(f"D{h}" for h in horizons), " retention: ", *retained),
+        line("Highest revenue campaign: ", s.top_channel, " - ", s.top_campaign_type, " (", money_text(s.top_campaign_revenue), ")"),
+        line("Biggest funnel dropoff: ", s.biggest_dropoff_stage),
     ]
-    rows = F.array(*[F.struct(F.lit(i).alias("line_no"), line.alias("value")) for i, line in enumerate(lines, 1)])
+    rows = F.array(*[F.struct(F.lit(i).alias("line_no"), text.alias("value")) for i, text in enumerate(lines, 1)])
     return s.select(F.inline(rows)).orderBy("line_no")

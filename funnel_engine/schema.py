@@ -59,3 +59,27 @@ TYPED_SCHEMA = T.StructType(
         T.StructField("revenue", T.DoubleType(), True),
     ]
 )
+
+# Schemas of the pipeline's outputs, for reading their CSV copies back typed.
+# Ids are written as text where the source's are; read them with ``schemas=``.
+_SHARED = "sessions BIGINT, users BIGINT"
+OUTPUT_SCHEMAS = {
+    "funnel_summary": "stage_order INT, stage STRING, sessions BIGINT, conversion_from_previous DOUBLE, "
+    "conversion_from_visit DOUBLE, dropoff_from_previous DOUBLE",
+    "monthly_growth_kpis": f"month STRING, {_SHARED}, product_views BIGINT, cart_adds BIGINT, checkouts BIGINT, orders BIGINT, "
+    "revenue DOUBLE, discounted_sessions BIGINT, visit_to_order_rate DOUBLE, aov DOUBLE, discount_usage_rate DOUBLE",
+    "segment_wallet_share": f"dimension STRING, segment STRING, {_SHARED}, views BIGINT, carts BIGINT, checkouts BIGINT, orders BIGINT, "
+    "revenue DOUBLE, discounted_sessions BIGINT, conversion_rate DOUBLE, view_to_cart_rate DOUBLE, checkout_to_order_rate DOUBLE, "
+    "aov DOUBLE, wallet_share DOUBLE",
+    "campaign_performance": f"channel STRING, campaign_type STRING, {_SHARED}, carts BIGINT, checkouts BIGINT, orders BIGINT, "
+    "revenue DOUBLE, discounted_sessions BIGINT, conversion_rate DOUBLE, revenue_per_session DOUBLE, discount_usage_rate DOUBLE, "
+    "wallet_share DOUBLE",
+    "customer_retention_churn": "user_id BIGINT, first_order_date DATE, last_order_date DATE, order_count BIGINT, customer_revenue DOUBLE, "
+    "second_order_date DATE, days_to_second_order BIGINT, days_since_last_order BIGINT, repeat_buyer_flag INT, "
+    + "".join(f"retained_d{h} INT, " for h in RETENTION_HORIZONS)
+    + "repeat_purchase_frequency DOUBLE, churn_risk STRING",
+    "retention_summary": "purchasers BIGINT, repeat_buyers BIGINT, first_to_second_order_rate DOUBLE, "
+    + "".join(f"d{h}_retention DOUBLE, " for h in RETENTION_HORIZONS)
+    + "avg_repeat_purchase_frequency DOUBLE, high_churn_risk_customers BIGINT, high_churn_risk_rate DOUBLE",
+    "cleaning_report": "rows BIGINT, undated_rows BIGINT, bad_ids BIGINT",
+}

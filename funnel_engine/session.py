@@ -37,6 +37,12 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
     return spark
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table, in whatever file system it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session (``spark.checkpoint.dir``).
 

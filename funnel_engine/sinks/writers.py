@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..schema import OUTPUT_SCHEMAS
+
 # KPI outputs whose row count is bounded by the number of stages, months,
 # segments or campaigns: written as one file each. The per-customer table
 # grows with the data and keeps its partitioning.
@@ -17,6 +19,7 @@ SMALL_OUTPUTS = {
     "campaign_performance",
     "retention_summary",
     "run_summary",
+    "cleaning_report",
 }
 
 
@@ -24,7 +27,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("quote", '"').option("escape", '"')
     writer.save(path)
 
 
@@ -43,16 +46,17 @@ def read_outputs(
     out_dir: str,
     names: list[str] | None = None,
     fmt: str = "parquet",
-    schemas: Mapping[str, T.StructType] | None = None,
+    schemas: Mapping[str, T.StructType | str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read written outputs back (explicit schemas for CSV)."""
-    names = names or sorted(SMALL_OUTPUTS - {"run_summary"} | {"customer_retention_churn"})
+    """Read written outputs back. CSV gets the outputs' schemas (``schema.OUTPUT_SCHEMAS``, or those given here)."""
+    names = names or sorted(SMALL_OUTPUTS - {"run_summary", "cleaning_report"} | {"customer_retention_churn"})
+    schemas = {**OUTPUT_SCHEMAS, **(schemas or {})}
     frames = {}
     for name in names:
         reader = spark.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True)
-            if schemas and name in schemas:
+            reader = reader.option("header", True).option("quote", '"').option("escape", '"')
+            if name in schemas:
                 reader = reader.schema(schemas[name])
         frames[name] = reader.load(f"{out_dir.rstrip('/')}/{name}")
     return frames

@@ -11,7 +11,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import flag_ci
@@ -25,13 +25,22 @@ def source_path(path: str | None = None) -> str:
     return os.environ.get(SOURCE_PATH_ENV, "data/raw/sessions.csv")
 
 
-def read_sessions(spark: SparkSession, path: str | None = None, fmt: str = "csv", delimiter: str = ",") -> DataFrame:
-    """Read the raw session table. CSV: header row, ``delimiter``, every column text."""
+def read_sessions(
+    spark: SparkSession, path: str | None = None, fmt: str = "csv", delimiter: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """Read the raw session table. CSV: header row, ``delimiter``, every column text.
+
+    Fields may be quoted, with doubled quotes inside. A row with too few or too
+    many fields fails the job that reads it. ``multi_line`` allows line ends inside
+    quoted fields; it is off by default, because each file is then read by one task.
+    """
     path = source_path(path)
     try:
         if fmt == "csv":
             reader = spark.read.option("header", True).option("inferSchema", False).option("sep", delimiter)
-            return reader.csv(path)
+            reader = reader.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            # Pruned columns are not parsed, which would let ragged rows pass.
+            return reader.option("mode", "FAILFAST").option("columnPruning", False).csv(path)
         return spark.read.format(fmt).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
@@ -44,24 +53,56 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
+#: A time zone or offset after a time of day.
+_OFFSET = r"(\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(?:Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)$"
+
+
 def parse_timestamp(c: Column, formats: Sequence[str] | None = None) -> Column:
-    """Coercing parse to a zone-free timestamp; unparseable gives NULL."""
+    """Coercing parse to a zone-free timestamp; unparseable gives NULL.
+
+    The result is the written wall-clock time: an offset in the text is dropped,
+    not converted, so the day does not depend on the session's time zone.
+    ``formats`` (patterns of Spark's datetime syntax, tried in order) replace the
+    default of ISO dates and times.
+    """
+    c = F.regexp_replace(F.trim(c), _OFFSET, "$1")
     if formats:
-        parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    else:
-        parsed = F.try_to_timestamp(c)
-    return parsed.cast("timestamp_ntz")
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    return c.try_cast("timestamp_ntz")
+
+
+def parse_id(c: Column, id_type: str = "bigint") -> Column:
+    """An id of the wanted type. ``bigint`` takes integers, also written as ``1.0``; other text is NULL."""
+    if id_type == "string":
+        return c
+    if id_type != "bigint":
+        raise ValueError(f"id_type must be 'bigint' or 'string', got {id_type!r}")
+    return F.regexp_replace(F.trim(c), r"^([+-]?\d+)\.0*$", "$1").try_cast("long")
+
+
+def parse_number(c: Column) -> Column:
+    """A double; NULL for text that is no plain number (Java's ``5d`` and ``7f`` are none)."""
+    return F.when(~F.rlike(c, F.lit("[dDfF]\\s*$")) | F.rlike(F.lower(c), F.lit("inf\\s*$")), c).try_cast("double")
 
 
 def clean_sessions(
     raw: DataFrame,
     formats: Sequence[str] | None = None,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    id_type: str = "bigint",
+    bad_ids: str = "fail",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Cleaned session table: the raw columns with coerced types, six
     case-insensitive ``<column>_flag`` ints, ``is_purchaser_session``; rows
     whose date does not parse are dropped.
+
+    ``id_type`` is ``bigint`` or ``string``. A bigint id that does not parse fails the
+    job; ``bad_ids='null'`` lets it be NULL. ``observation`` collects, while the table
+    is read, ``rows``, ``undated_rows`` (the dropped ones) and ``bad_ids``.
     """
+    if bad_ids not in ("fail", "null"):
+        raise ValueError(f"bad_ids must be 'fail' or 'null', got {bad_ids!r}")
     df = normalise_headers(raw)
     # One literal per token, shared by every column; with more than ten values
     # the optimizer turns the IN list into a hashed set lookup.
@@ -75,17 +116,31 @@ def clean_sessions(
     typed: dict[str, Column] = {}
     for name in df.columns:
         typed[name] = text(name)
-    if "user_id" in typed:
-        typed["user_id"] = typed["user_id"].try_cast("long")
-    if "session_id" in typed:
-        typed["session_id"] = typed["session_id"].try_cast("long")
+    ids = [c for c in ("user_id", "session_id") if c in typed]
+    bad = F.lit(False)
+    for name in ids:
+        parsed = parse_id(text(name), id_type)
+        unparsed = text(name).isNotNull() & parsed.isNull()
+        bad = bad | unparsed
+        if bad_ids == "fail" and id_type == "bigint":
+            message = F.concat(F.lit(f"{name} is not an integer: "), text(name))
+            parsed = F.when(unparsed, F.raise_error(message).cast("long")).otherwise(parsed)
+        typed[name] = parsed
     date = parse_timestamp(text("date"), formats)
     typed["date"] = date
     typed["month"] = F.date_format(date.cast("date"), "yyyy-MM")
     for money_col in ("order_value", "revenue"):
-        typed[money_col] = F.coalesce(text(money_col).try_cast("double"), F.lit(0.0))
-
-    out = df.select(*[typed[n].alias(n) for n in df.columns])
+        typed[money_col] = F.coalesce(parse_number(text(money_col)), F.lit(0.0))
+
+    counted = [bad.alias("_bad_ids")] if observation is not None else []
+    out = df.select(*[typed[n].alias(n) for n in df.columns], *counted)
+    if observation is not None:
+        out = out.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("date").isNull()).alias("undated_rows"),
+            F.count_if("_bad_ids").alias("bad_ids"),
+        ).drop("_bad_ids")
     flags = {f"{c}_flag": flag_ci(F.col(c)) for c in FLAG_SOURCES}
     out = out.withColumns(flags)
     out = out.withColumn("is_purchaser_session", F.col("purchase_completed_flag") == 1)

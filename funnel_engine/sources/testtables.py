@@ -29,6 +29,11 @@ DIRTY_DATE_EVERY = 97
 DIRTY_REVENUE_EVERY = 89
 DIRTY_UPPER_EVERY = 13
 DIRTY_NULL_EVERY = 11
+# Variant with gaps: a column is NULL on every so-many-th session.
+GAP_EVERY = {"user_id": 19, "session_id": 17, "channel": 23, "campaign_type": 31, "region": 29, "month": 37}
+# Choices for queries that take any: months, and an analysis date, inside the data.
+CHOSEN_MONTHS = ("1995-03", "1996-07", "1996-08")
+AS_OF_INSIDE = "1998-07-15"
 # -----------------------------------------------------------------------------
 
 
@@ -126,6 +131,14 @@ def dirty_from_sessions(sessions_df: DataFrame) -> DataFrame:
     return sessions_df.select(*[c.alias(n) for n, c in cols.items()])
 
 
+def gaps_from_sessions(sessions_df: DataFrame) -> DataFrame:
+    """The session table with missing ids and dimensions, row by row."""
+    key = F.col("session_id")
+    return sessions_df.select(
+        *[F.when(key % GAP_EVERY[c] != 0, F.col(c)).alias(c) if c in GAP_EVERY else F.col(c) for c in sessions_df.columns]
+    )
+
+
 def dirty_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty all-text variant of ``sessions``."""
     return dirty_from_sessions(sessions(spark, sf_dir))
