@@ -70,6 +70,40 @@ def map_columns(
     return df.mapInArrow(run, out)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def rewrite_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """``df`` with the texts of one column replaced; all other columns pass as they are."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = make()
+        for batch in _parts(batches):
+            columns = batch.columns
+            columns[at] = pa.array(call(columns[at].to_pylist()), columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    importable(df.sparkSession)
+    return df.mapInArrow(run, df.schema)
+
+
+def keep_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows of ``df`` whose texts the function keeps."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = make()
+        for batch in _parts(batches):
+            yield batch.filter(pa.array(call(batch.column(at).to_pylist()), pa.bool_()))
+
+    importable(df.sparkSession)
+    return df.mapInArrow(run, df.schema)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id and the whole text, null texts as empty ones; other columns are never read."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -152,21 +152,27 @@ def mix(
     seed: int = SEED,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """The chosen rows of ``docs`` with all their columns, once per epoch, and ``mix_epoch``, ``mix_tokens`` and ``mix_taken``."""
+    """The chosen rows of ``docs`` with all their columns, once per epoch, and ``mix_epoch``, ``mix_tokens`` and ``mix_taken``
+    (which replace input columns of these names)."""
     # One small row per leaf; read back so that the planner knows its size before it chooses the join.
     plan = stored(mix_plan(docs, levels, tokens, weights, percent, max_epochs, seed, id_col), "mix-plan")
     names = [f"_{k}" for k in levels]
     plan = plan.select(F.struct(*names).alias("_leaf"), F.struct("epochs", "last", "left").alias("_plan"))
-    own = docs.withColumn("_leaf", F.struct(*_named(levels))).withColumn("mix_tokens", tokens)
-    own = own.where("mix_tokens > 0").join(plan, "_leaf")
-    place = _place(F.lit(seed), F.col("_plan.epochs") + 1, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    whole = F.when(F.col("_plan.epochs") > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.col("_plan.epochs"), F.lit(1))), lambda e: F.struct(e.alias("epoch"), F.col("mix_tokens").alias("taken"))))
-    at = F.col("_plan.last")
-    taken = F.when(F.col("_place") < at, F.col("mix_tokens")).when(F.col("_place") == at, F.least("mix_tokens", F.col("_plan.left")))
-    last = F.when(taken.isNotNull(), F.array(F.struct((F.col("_plan.epochs") + 1).alias("epoch"), taken.alias("taken"))))
+    # The row travels as one struct, so that its columns clash with none made here.
+    columns = [c for c in docs.columns if c.lower() not in ("mix_epoch", "mix_tokens", "mix_taken")]
+    doc = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    own = docs.select(F.struct(*columns).alias("_doc"), F.struct(*_named(levels)).alias("_leaf"), tokens.alias("_tokens"), doc.alias("_id"))
+    own = own.where("_tokens > 0").join(plan, "_leaf")
+    epochs, at = F.col("_plan.epochs"), F.col("_plan.last")
+    whole = F.transform(F.sequence(F.lit(1), epochs), lambda e: F.struct(e.cast("bigint").alias("epoch"), F.col("_tokens").alias("taken")))
+    own = own.withColumn("_place", _place(F.lit(seed), epochs + 1, F.col("_id")))
+    taken = F.when(F.col("_place") < at, F.col("_tokens")).when(F.col("_place") == at, F.least("_tokens", F.col("_plan.left").cast("bigint")))
+    last = F.struct((epochs + 1).cast("bigint").alias("epoch"), taken.alias("taken"))
     none = F.array().cast("array<struct<epoch:bigint,taken:bigint>>")
-    own = own.withColumn("_place", place).withColumn("_rows", F.concat(F.coalesce(whole, none), F.coalesce(last, none)))
-    return own.select(*docs.columns, "mix_tokens", F.inline("_rows").alias("mix_epoch", "mix_taken"))
+    own = own.withColumn("_rows", F.concat(F.when(epochs > 0, whole).otherwise(none), F.when(taken.isNotNull(), F.array(last)).otherwise(none)))
+    return own.select("_doc", "_tokens", F.inline("_rows").alias("_epoch", "_taken")).select(
+        "_doc.*", F.col("_tokens").alias("mix_tokens"), F.col("_epoch").alias("mix_epoch"), F.col("_taken").alias("mix_taken")
+    )
 
 
 def document_levels() -> dict[str, Column]:

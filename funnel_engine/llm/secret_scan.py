@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_columns, stored, table, texts
+from .common import map_columns, rewrite_text, stored, table, texts
 
 KINDS = ("assign", "access", "hex", "format")
 _ASSIGN = re.compile(
@@ -281,17 +281,11 @@ def masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
 def redact(docs: DataFrame, formats: Formats | None = None, mask: str = "[SECRET]", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with every span of ``text_col`` masked; a null text stays null, other columns stay as they are."""
     formats = formats or infer_formats(labelled_values(docs, SAMPLE, id_col, text_col))
-    at = docs.columns.index(text_col)
 
     def make():
-        def call(*columns):
-            columns = list(columns)
-            columns[at] = [t and masked(t, all_spans(t, formats), mask) for t in columns[at]]
-            return columns
+        return lambda bodies: [t and masked(t, all_spans(t, formats), mask) for t in bodies]
 
-        return call
-
-    return map_columns(docs, make, docs.schema)
+    return rewrite_text(docs, text_col, make)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_columns, table, texts
+from .common import keep_texts, map_columns, table, texts
 
 #: Share of toxic texts where labels name no other class to estimate it from.
 PRIOR = 0.1
@@ -44,7 +44,7 @@ LEAST_LIFT = 4.0
 PENALTY = 2e-3
 STEPS = 300
 #: Distinct words whose weights a worker keeps.
-CACHE = 400_000
+CACHE = 200_000
 _STRIP = b".,;:!?\"'()[]{}|"
 
 
@@ -204,18 +204,12 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose texts are not predicted toxic."""
-    at = docs.columns.index(text_col)
 
     def make():
         score = scorer(model)
+        return lambda bodies: [score(t or "") < threshold for t in bodies]
 
-        def call(*columns):
-            keep = [score(t or "") < threshold for t in columns[at]]
-            return [[x for x, k in zip(c, keep, strict=True) if k] for c in columns]
-
-        return call
-
-    return map_columns(docs, make, docs.schema)
+    return keep_texts(docs, text_col, make)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
