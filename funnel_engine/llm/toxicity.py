@@ -77,7 +77,7 @@ class Model:
     bias: float
 
     def score(self, logit: float) -> float:
-        return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
+        return float(1 / (1 + np.exp(-np.clip(logit, -500, 500)))) if logit > -np.inf else 0.0
 
 
 def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> list[int]:
