@@ -1,8 +1,9 @@
 """Repeated byte strings across documents, from merged Burrows-Wheeler transforms.
 
 Removes each byte covered by a string of ``length`` bytes that also starts in a
-document with a smaller id. Work is laid out so that all places of one such
-string meet in one task, and little else does:
+document with a smaller id. Of equal whole texts only the smallest document's is
+searched; its copies lose everything. Work is laid out so that all places of one
+repeated string meet in one task, and little else does:
 
 1. Every string (window) of ``length`` bytes has an *anchor*: its ``K``-gram with the
    smallest hash, the leftmost of equals. It depends on the window alone, and the
@@ -30,12 +31,12 @@ that repeat an id are judged each by its own text and never match each other.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -248,8 +249,14 @@ def _bytes(column: pa.ChunkedArray) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def _only_first(docs: pa.Table, copies: pa.Table) -> pa.Table:
+    """``docs`` without the rows whose whole text a document with a smaller id has."""
+    return docs.filter(pc.invert(pc.is_in(docs["row"], copies["hash"].combine_chunks()))) if copies.num_rows else docs
+
+
 def _count_anchors(length: int, k: int):
-    def run(key: tuple, docs: pa.Table) -> pa.Table:
+    def run(key: tuple, docs: pa.Table, copies: pa.Table) -> pa.Table:
+        docs = _only_first(docs, copies)
         found = [(h, rows) for _, rows, _, _, h, _ in anchors(_bytes(docs["text"]), length, k)]
         if not found:
             return _COUNTS.empty_table()
@@ -295,6 +302,8 @@ def _candidates(hot: int):
 
 def _cut_segments(length: int, k: int):
     def run(key: tuple, docs: pa.Table, wanted: pa.Table) -> pa.Table:
+        whole = pc.is_null(wanted["hot"])  # rows of copies
+        docs, wanted = _only_first(docs, wanted.filter(whole)), wanted.filter(pc.invert(whole))
         if not docs.num_rows or not wanted.num_rows:
             return _SEGMENTS.empty_table()
         bucket = docs["bucket"][0].as_py()
@@ -318,8 +327,8 @@ def _cut_segments(length: int, k: int):
                 single = zip(np.repeat(rows[split], sizes).tolist(), starts.tolist(), starts.tolist(), _hash_at(data, starts, length).tolist(), np.repeat(offsets[split], sizes).tolist(), strict=True)
             else:
                 single = ()
-            whole = zip(rows[hit].tolist(), lo[hit].tolist(), hi[hit].tolist(), h[hit].tolist(), offsets[hit].tolist(), strict=True)
-            for part in (whole, single):
+            entire = zip(rows[hit].tolist(), lo[hit].tolist(), hi[hit].tolist(), h[hit].tolist(), offsets[hit].tolist(), strict=True)
+            for part in (entire, single):
                 for r, a, b, route, offset in part:
                     segment, doc, row = raw[a : b + length], ids[r], keys[r]
                     known = first.get(segment)
@@ -409,11 +418,15 @@ def _merge_segments(length: int, merge_bytes: int):
 
 def _remove(key: tuple, docs: pa.Table, ranges: pa.Table) -> pa.Table:
     covered: dict[int, list[int]] = {}
+    copies = set()
     for row, at in zip(ranges["row"].to_pylist(), ranges["at"].to_pylist(), strict=True):
-        covered.setdefault(row, []).extend(at)
+        if at is None:
+            copies.add(row)
+        else:
+            covered.setdefault(row, []).extend(at)
     out = []
     for doc, row, text in zip(docs["doc_id"].to_pylist(), docs["row"].to_pylist(), _bytes(docs["text"]), strict=True):
-        gone = _joined(covered.get(row, []))
+        gone = [0, len(text)] if row in copies else _joined(covered.get(row, []))
         kept, at = [], 0
         for s, e in zip(gone[::2], gone[1::2], strict=True):
             kept.append(text[at:s])
@@ -424,12 +437,6 @@ def _remove(key: tuple, docs: pa.Table, ranges: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RESULT, strict=True)], schema=_RESULT)
 
 
-def _free(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that are no longer referred to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(
     docs: DataFrame,
     length: int = LENGTH,
@@ -447,21 +454,26 @@ def remove_repeats(
     importable(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
     # A row is known by its id and text: rows that repeat both have the same result.
     own = own.withColumn("row", F.xxhash64("doc_id", "text"))
-    own = own.withColumn("bucket", F.pmod("row", F.lit(buckets)).cast("int"))
-    named = own.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length)
-
-    counts = named.select("bucket", "text").groupBy("bucket").applyInArrow(_count_anchors(length, k), _DDL["counts"])
-    wanted = counts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_candidates(hot), _DDL["wanted"])
-    wanted = stored(wanted, "repeat-anchors")
-    _free(spark)
-    segments = named.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(_cut_segments(length, k), _DDL["segments"])
+    size = F.octet_length("text")
+    names = stored(own.select("doc_id", "row", size.alias("size"), F.unhex(F.sha2("text", 256)).alias("digest")), "repeat-names")
+    buckets = max(1, -(-(names.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
+    bucket = F.pmod("row", F.lit(buckets)).cast("int").alias("bucket")
+    own = own.select("*", bucket)
+    named = own.where("doc_id IS NOT NULL").where(size >= length)
+
+    # Whole texts that a smaller document has lose every byte and need no search.
+    names = names.where("doc_id IS NOT NULL").where(F.col("size") >= length)
+    firsts = names.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = stored(names.join(firsts, "digest").where("doc_id > first").select(bucket, F.col("row").alias("hash")).distinct(), "repeat-copies")
+    copies = copies.select("bucket", "hash", F.lit(None).cast("boolean").alias("hot"))
+
+    counts = named.groupBy("bucket").cogroup(copies.groupBy("bucket")).applyInArrow(_count_anchors(length, k), _DDL["counts"])
+    wanted = stored(counts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_candidates(hot), _DDL["wanted"]), "repeat-anchors")
+    segments = named.groupBy("bucket").cogroup(wanted.union(copies).groupBy("bucket")).applyInArrow(_cut_segments(length, k), _DDL["segments"])
     ranges = segments.repartition("route").sortWithinPartitions("route").mapInArrow(_merge_segments(length, merge_bytes), _DDL["ranges"])
-    ranges = stored(ranges, "repeat-ranges")
-    _free(spark)
+    ranges = stored(ranges, "repeat-ranges").union(copies.select("bucket", F.col("hash"), F.lit(None).cast("array<int>")))
     return own.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInArrow(_remove, _DDL["result"])
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from funnel_engine.session import checkpoint_dir
 
-from .common import map_columns, table, texts
+from .common import map_columns, shuffles_freed, table, texts
 from .sentencepiece_codec import model_path
 
 CACHE_SCHEMA = "text_digest binary, tokenizer string, n_tokens bigint"
@@ -75,7 +75,8 @@ def append_misses(docs: DataFrame, cache_dir: str, path: str, tokenizer: str, te
     found = docs.select(text_digest(text).alias("text_digest"), text.alias("text"))
     cached = read_cache(spark, cache_dir, tokenizer).select("text_digest")
     missing = found.groupBy("text_digest").agg(F.any_value("text").alias("text")).join(cached, "text_digest", "left_anti")
-    map_columns(missing, make, CACHE_SCHEMA, 64).write.mode("append").parquet(cache_dir)
+    with shuffles_freed(spark):
+        map_columns(missing, make, CACHE_SCHEMA, 64).write.mode("append").parquet(cache_dir)
 
 
 def token_counts(
