@@ -18,17 +18,19 @@ takes no document without words.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnel_engine.llm.common import stored, table
+from funnel_engine.llm.common import collected, shuffles_freed, table
 from funnel_engine.llm.minhash_dedup import drop_near_duplicates
 from funnel_engine.llm.mixing import document_levels, mix, n_words
 from funnel_engine.llm.secret_scan import redact
 from funnel_engine.llm.sentencepiece_codec import encoding_digests
 from funnel_engine.llm.toxicity import drop_toxic, train
+from funnel_engine.session import checkpoint_dir
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,5 +68,10 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
+        with collected(spark):
+            out = stage(spark, docs, sf_dir)
+            with shuffles_freed(spark):
+                out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs

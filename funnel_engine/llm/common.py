@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from funnel_engine.session import checkpoint_dir
+from funnel_engine.session import checkpoint_dir, delete_path
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,12 +38,30 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def collected(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that operators write inside, when it ends; write results before that."""
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet into the shared checkpoint folder and read back.
 
     Cuts the lineage with a table that survives the loss of an executor.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
     with shuffles_freed(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
