@@ -67,8 +67,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Workers unpickle functions of this package by name, so they must find it from any working directory."""
+#: Rows of an Arrow batch where the session has Spark's default of 10,000, whose whole texts fill tens of MB on either side.
+BATCH_ROWS = 1_000
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Settings that the Python functions of this package need.
+
+    Workers unpickle them by name, so they must find the package from any working
+    directory; and batches of long texts must be smaller than Spark's default.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, env.get("PYTHONPATH")]))
@@ -83,7 +94,8 @@ def map_columns(
     """Run ``make()`` once per task and call it with the columns of at most ``rows`` rows at a time.
 
     The function gets one Python list per column of ``df`` and returns one list
-    (or Arrow array) per column of ``schema``.
+    (or Arrow array) per column of ``schema``. Its ``finish`` attribute, if it has
+    one, is called when the task ends.
     """
     out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(out)
@@ -98,8 +110,11 @@ def map_columns(
                     [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(got, arrow, strict=True)],
                     schema=arrow,
                 )
+        # Workers live on after a task: give its memory back.
+        getattr(call, "finish", lambda: None)()
+        pa.default_memory_pool().release_unused()
 
-    importable(df.sparkSession)
+    prepare_workers(df.sparkSession)
     return df.mapInArrow(run, out)
 
 
@@ -107,6 +122,7 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def rewrite_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
@@ -120,7 +136,7 @@ def rewrite_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[list
             columns[at] = pa.array(call(columns[at].to_pylist()), columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    importable(df.sparkSession)
+    prepare_workers(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 
@@ -133,7 +149,7 @@ def keep_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[list],
         for batch in _parts(batches):
             yield batch.filter(pa.array(call(batch.column(at).to_pylist()), pa.bool_()))
 
-    importable(df.sparkSession)
+    prepare_workers(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import importable, map_columns, stored, table
+from .common import map_columns, prepare_workers, stored, table
 from .components import connected_components
 
 COSINE = 0.98
@@ -223,7 +223,7 @@ def near_vectors(
     each = each.join(counts, group).withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     each = each.select(*group, F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "mult", "v", "filters", "side")
     keys = [*group, "lo", "hi"]
-    importable(vectors.sparkSession)
+    prepare_workers(vectors.sparkSession)
     links = stored(each.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_groups(cosine, size), _LINKS), "vector-links")
 
     found = connected_components(links.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")

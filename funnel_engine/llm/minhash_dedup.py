@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import importable, map_columns, stored, table, texts
+from .common import map_columns, prepare_workers, stored, table, texts
 from .components import connected_components
 
 WORDS = 5
@@ -50,7 +50,7 @@ SLACK = 0.17
 #: Members of a bucket that are compared at once; larger buckets are cut into blocks.
 BLOCK = 512
 #: Distinct word hashes kept per worker.
-CACHE = 400_000
+CACHE = 200_000
 
 _rng = np.random.RandomState(20240229)
 _A = (_rng.randint(0, 1 << 31, PERMUTATIONS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -310,7 +310,7 @@ def near_duplicates(
     # Sets travel with the rows, so that pairs are confirmed where they meet and none is written out.
     wide = placed.select(*groups, "side", "id", "c", "outside").join(classes.select("id", "bands", "packed"), "id").join(sets, "id")
     wide = wide.select("key", "lo", "hi", "side", F.col("id").cast("bigint").alias("id"), F.col("c").cast("bigint").alias("c"), "outside", "bands", "packed", "shingles")
-    importable(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     wide = wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     more = wide.mapInArrow(_compare_buckets(percent), "a bigint, b bigint")
     links = more.union(found.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b")))

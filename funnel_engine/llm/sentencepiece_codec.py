@@ -8,8 +8,8 @@ its predecessor, falls back to shorter ones, and steps back when none is left. A
 bitfield remembers positions that failed, so each position fails at most once.
 
 Texts are cut only where no vocabulary piece can cross (before a space mark that
-follows something else, around line ends), and each distinct segment of a task
-is encoded once.
+follows something else, around line ends, between a letter and punctuation after
+a word), and each distinct segment of a task is encoded once.
 
 Null and empty texts give no ids and an empty decoded text. Rows are
 independent: repeated rows, ties and null ids come back as they are.
@@ -26,8 +26,13 @@ from pyspark.sql import functions as F
 from .common import map_columns, table, texts
 
 MARK = "▁"
-#: Distinct segments kept per Python worker; beyond it the cache starts anew.
-CACHE = 1_000_000
+#: Punctuation after a word; cut off where no piece holds a letter and one of these in turn.
+_MARKS = ".,;:!?*#$%&|"
+#: Distinct segments (with and without a space mark) and compatible pairs kept within a
+#: task, some 150 MB at most; a full cache starts anew.
+CACHE = 400_000
+CACHE_BARE = 100_000
+CACHE_PAIRS = 250_000
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -72,6 +77,8 @@ class PieceCodec:
         self.text_of = {i: p.replace(MARK, " ") for p, i in self.ids.items()}
         self.unk_text = spec.unk_surface or " ⁇ "
         self.words_apart = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        self.letters_apart = not any(p[k].isalpha() and p[k + 1] in _MARKS for p in self.ids for k in range(len(p) - 1))
+        self.id_text = {p: f",{i}" for p, i in self.ids.items()}
         self.lines_apart = not any("\n" in p for p in self.ids)
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
@@ -101,7 +108,7 @@ class PieceCodec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _compatible(self, left: str, right: str) -> bool:
-        if len(self.fits) >= CACHE:
+        if len(self.fits) >= CACHE_PAIRS:
             self.fits.clear()
         ok = self.fits[left, right] = self._remerge(left + right) == ([left, right] if left else [right])
         return ok
@@ -111,8 +118,7 @@ class PieceCodec:
         longest: list[str | None] = [None] * n
         for end, (before_end, piece) in self.automaton.iter(segment):
             longest[end - before_end] = piece  # ends ascend, so the longest of a start comes last
-        failed = bytearray((n >> 3) + 1)
-        any_failed = False
+        failed = None  # a bitfield, made when a position fails
         fits, shorter = self.fits, self.shorter
         out: list[str] = []
         at, before = 0, ""
@@ -120,7 +126,7 @@ class PieceCodec:
             piece = longest[at] or segment[at]  # a character outside the vocabulary stands alone
             while piece is not None:
                 end = at + len(piece)
-                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
                     ok = fits.get((before, piece))
                     if ok is None:
                         ok = self._compatible(before, piece)
@@ -128,8 +134,9 @@ class PieceCodec:
                         break
                 piece = shorter.get(piece)
             if piece is None:
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                any_failed = True
                 at -= len(out.pop())
                 before = out[-1] if out else ""
             else:
@@ -150,15 +157,31 @@ class PieceCodec:
         return out
 
     def _ids_text(self, segment: str) -> str:
-        return "".join(f",{i}" for i in self._segment_ids(segment)) if segment else ""
+        if not segment:
+            return ""
+        if self.letters_apart and segment[-1] in _MARKS:
+            stem = segment.rstrip(_MARKS)
+            if stem and stem[-1].isalpha():
+                cache, key = (self.marked, stem[1:]) if stem[0] == MARK else (self.bare, stem)
+                return cache[key] + self.bare[segment[len(stem) :]]
+        try:
+            return "".join([self.id_text[p] for p in self.pieces(segment)])
+        except KeyError:  # characters outside the vocabulary
+            return "".join(f",{i}" for i in self._segment_ids(segment))
+
+    def forget(self) -> None:
+        """Empty the segment caches."""
+        self.marked.clear()
+        self.bare.clear()
 
     def encoded_segments(self, text: str) -> list[str]:
         """The ids of each segment as ``,1,2``; their concatenation is the whole encoding."""
         if not text:
             return []
-        for cache in (self.marked, self.bare):
-            if len(cache) > CACHE:
-                cache.clear()
+        if len(self.marked) > CACHE:
+            self.marked.clear()
+        if len(self.bare) > CACHE_BARE:
+            self.bare.clear()
         text = self.prefix + text.replace(" ", MARK)
         if not (self.words_apart and self.lines_apart and self.fallback):
             return [self._ids_text(text)]
@@ -216,7 +239,7 @@ _CODECS: dict[str, PieceCodec] = {}
 
 
 def codec(path: str) -> PieceCodec:
-    """One codec per worker process and model, so that its caches outlive a task."""
+    """One codec per worker process and model; only its segments go when a task ends."""
     if path not in _CODECS:
         _CODECS[path] = PieceCodec(path)
     return _CODECS[path]
@@ -233,6 +256,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
             got = [c.encode(t) for t in bodies]
             return [ids, got, [c.decode(x) for x in got]]
 
+        call.finish = c.forget
         return call
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -256,6 +280,7 @@ def encoding_digests(docs: DataFrame, path: str | None = None, id_col: str = "do
                 b.append(sha(c.decode_joined(joined).encode()).hexdigest())
             return [ids, n, a, b]
 
+        call.finish = c.forget
         return call
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -44,7 +44,7 @@ LEAST_LIFT = 4.0
 PENALTY = 2e-3
 STEPS = 300
 #: Distinct words whose weights a worker keeps.
-CACHE = 200_000
+CACHE = 100_000
 _STRIP = b".,;:!?\"'()[]{}|"
 
 
