@@ -45,26 +45,34 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 def window_hashes(x: np.ndarray, lengths: list[int]) -> dict[int, np.ndarray]:
     """Polynomial hashes of all windows of each length; entry i covers x[i : i + n]."""
-    twos, got, n = {1: x}, {}, 1
+
+    def joined(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
+        size = max(0, len(x) - n_a - n_b + 1)
+        return a[:size] * _power(n_b) + b[n_a : n_a + size]
+
+    twos, n = {1: x}, 1
     while 2 * n <= max(lengths):
-        h = twos[n]
-        twos[2 * n] = h[: max(0, len(h) - n)] * _power(n) + h[n:]
+        twos[2 * n] = joined(twos[n], n, twos[n], n)
         n *= 2
+    got = {}
     for want in lengths:
-        have, h = 0, None
-        for n in sorted((k for k in twos if want & k), reverse=True):
-            h = twos[n] if h is None else h[: len(twos[n]) - have if len(twos[n]) > have else 0] * _power(n) + twos[n][have:]
-            have += n
+        parts = sorted((k for k in twos if want & k), reverse=True)
+        h, have = twos[parts[0]], parts[0]
+        for n in parts[1:]:
+            h, have = joined(h, have, twos[n], n), have + n
         got[want] = h
     return got
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Whether each key occurs twice or more."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    out = np.zeros(len(keys), bool)
-    hit = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(keys) else out
+    order = np.argsort(keys)
+    ranked = keys[order]
+    hit = np.zeros(len(keys), bool)
+    same = ranked[1:] == ranked[:-1]
+    hit[1:] |= same
+    hit[:-1] |= same
+    out = np.empty(len(keys), bool)
     out[order] = hit
     return out
 
@@ -72,9 +80,9 @@ def repeated(keys: np.ndarray) -> np.ndarray:
 def covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:
     """Which of ``size`` positions lie in a window of ``n`` that starts at a marked position."""
     edge = np.zeros(size + 1, np.int32)
-    at = np.flatnonzero(starts)
-    np.add.at(edge, at, 1) if len(at) < 64 else edge.__iadd__(np.bincount(at, minlength=size + 1).astype(np.int32))
-    edge[n:] -= edge[: size + 1 - n].copy() if n <= size else 0
+    edge[:size] = starts
+    if n <= size:
+        edge[n:] -= starts[: size + 1 - n]
     return np.cumsum(edge[:size]) > 0
 
 
