@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import importable, stored, table
+from .common import prepare_workers, stored, table
 
 LENGTH = 50
 #: Bytes of an anchor.
@@ -53,7 +53,7 @@ HOT = 2_000
 MERGE_BYTES = 1_000_000
 SHARDS = 6
 #: Windows handled at once when anchors are sought.
-PIECE = 1 << 18
+PIECE = 1 << 16
 
 _rng = np.random.RandomState(977)
 _BYTE = _rng.randint(0, 1 << 31, 256).astype(np.uint32) * np.uint32(2) + _rng.randint(0, 2, 256).astype(np.uint32)
@@ -163,12 +163,13 @@ class Shard:
             key = (key << np.uint64(8 * k)) | key[ahead(k)]
         reach = 8
         while True:
-            order = np.argsort(key, kind="stable")
-            ranked = key[order]
-            rank = np.empty(n, np.uint64)
-            rank[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])).astype(np.uint64)
+            order = np.argsort(key)  # ties are settled by the next round, or agree in all that matters
             if reach >= length:
                 break
+            ranked = key[order]
+            rank = np.empty(n, np.uint64)
+            rank[order[0]] = 0
+            rank[order[1:]] = np.cumsum(ranked[1:] != ranked[:-1], dtype=np.uint64)
             bits = np.uint64(max(1, int(n).bit_length()))
             key = rank
             for step in (1, 2) if 3 * int(bits) <= 64 else (1,):
@@ -190,20 +191,24 @@ def merge_transforms(shards: list[Shard], length: int) -> tuple[np.ndarray, np.n
     total = sum(sizes)
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)
     symbols = np.concatenate([s.transform for s in shards])
-    block = np.zeros(total, np.int32)
+    block, next_block = np.zeros(total, np.int32), np.empty(total, np.int32)
     symbol = np.empty(total, np.uint16)
+    new = np.zeros(total, bool)
     for _ in range(length // 2):
         symbol[np.argsort(source, kind="stable")] = symbols
-        to = np.argsort(symbol, kind="stable")
-        source, symbol, block = source[to], symbol[to], block[to]
-        block = np.cumsum(np.concatenate([[0], (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])]), dtype=np.int32)
+        to = np.argsort(symbol, kind="stable")  # a radix sort
+        source, sorted_symbol = source[to], symbol[to]
+        np.take(block, to, out=next_block)
+        np.not_equal(next_block[1:], next_block[:-1], out=new[1:])
+        new[1:] |= sorted_symbol[1:] != sorted_symbol[:-1]
+        np.cumsum(new, out=block)
     merged = np.empty(total, np.int64)
     merged[np.argsort(source, kind="stable")] = np.arange(total)
     return merged, np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
 
 
-def smallest_documents(segments: list[bytes], docs: np.ndarray, length: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
-    """For each window of each segment the smallest document among all equal windows."""
+def window_documents(segments: list[bytes], docs: np.ndarray, length: int = LENGTH, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray]:
+    """For all windows of all segments, one after the other, the smallest document among equal windows; and the windows per segment."""
     cuts = np.linspace(0, len(segments), min(shards, len(segments)) + 1).astype(int)
     built = [Shard(segments[a:b], length) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     merged, blocks = merge_transforms(built, length)
@@ -211,23 +216,40 @@ def smallest_documents(segments: list[bytes], docs: np.ndarray, length: int = LE
     starts = np.cumsum(sizes) - sizes
     bases = np.cumsum([0] + [len(s.order) for s in built[:-1]])
     suffix = np.concatenate([s.order + b for s, b in zip(built, bases, strict=True)])[merged]
-    owner = np.repeat(np.arange(len(segments)), sizes)
     window = np.arange(sizes.sum()) - np.repeat(starts, sizes) <= np.repeat(sizes, sizes) - length
-    value = np.where(window, docs[owner], np.iinfo(np.int64).max)[suffix]
+    value = np.where(window, np.repeat(docs, sizes), np.iinfo(np.int64).max)[suffix]
     least = np.minimum.reduceat(value, blocks)
     found = np.empty(len(suffix), np.int64)
     found[suffix] = np.repeat(least, np.diff(np.append(blocks, len(suffix))))
-    return [found[a : a + n - length + 1] for a, n in zip(starts, sizes, strict=True)]
+    return found[window], sizes - length + 1
 
 
-def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+def smallest_documents(segments: list[bytes], docs: np.ndarray, length: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
+    """``window_documents`` by segment."""
+    found, sizes = window_documents(segments, docs, length, shards)
+    return np.split(found, np.cumsum(sizes)[:-1])
+
+
+def earlier_runs(segments: list[bytes], docs: np.ndarray, length: int = LENGTH) -> dict[int, list[tuple[int, int]]]:
+    """Runs of windows (first, end) that a smaller document than the segment's own has, by segment number."""
+    found, sizes = window_documents(segments, docs, length)
+    marked = found < np.repeat(docs, sizes)
+    first = np.cumsum(sizes) - sizes
+    before, after = np.concatenate([[False], marked[:-1]]), np.concatenate([marked[1:], [False]])
+    before[first] = False
+    after[first[1:] - 1] = False
+    starts, ends = np.flatnonzero(marked & ~before), np.flatnonzero(marked & ~after) + 1
+    owner = np.searchsorted(first, starts, side="right") - 1
+    out: dict[int, list[tuple[int, int]]] = {}
+    for i, s, e in zip(owner.tolist(), (starts - first[owner]).tolist(), (ends - first[owner]).tolist(), strict=True):
+        out.setdefault(i, []).append((s, e))
+    return out
 
 
 # -- Spark ----------------------------------------------------------------
 
-_COUNTS = pa.schema([("hash", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32())])
+#: ``place`` is the bucket, shifted by 32 bits, and the number of its documents that have the anchor.
+_COUNTS = pa.schema([("hash", pa.int64()), ("place", pa.int64())])
 _WANTED = pa.schema([("bucket", pa.int32()), ("hash", pa.int64()), ("hot", pa.bool_())])
 _SEGMENTS = pa.schema(
     [("route", pa.int64()), ("segment", pa.binary()), ("doc", pa.int64()), ("row", pa.int64()), ("bucket", pa.int32()), ("at", pa.list_(pa.int32()))]
@@ -237,7 +259,7 @@ _RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
 )
 _DDL = {
-    "counts": "hash bigint, bucket int, n int",
+    "counts": "hash bigint, place bigint",
     "wanted": "bucket int, hash bigint, hot boolean",
     "segments": "route bigint, segment binary, doc bigint, row bigint, bucket int, at array<int>",
     "ranges": "bucket int, row bigint, at array<int>",
@@ -267,7 +289,7 @@ def _count_anchors(length: int, k: int):
         new_doc = new_hash | np.concatenate([[True], rows[1:] != rows[:-1]])
         at = np.flatnonzero(new_hash)
         n = np.add.reduceat(new_doc.astype(np.int32), at)
-        return pa.table([h[at], np.full(len(at), key[0].as_py(), np.int32), n.astype(np.int32)], schema=_COUNTS)
+        return pa.table([h[at], np.int64(key[0].as_py() << 32) + n], schema=_COUNTS)
 
     return run
 
@@ -275,10 +297,11 @@ def _count_anchors(length: int, k: int):
 def _candidates(hot: int):
     """Of rows sorted by hash, those whose hash is in two or more documents."""
 
-    def pick(h, bucket, n):
+    def pick(h, place):
+        n, bucket = place & 0xFFFFFFFF, (place >> 32).astype(np.int32)
         at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         sizes = np.diff(np.append(at, len(h)))
-        total = np.repeat(np.add.reduceat(n.astype(np.int64), at), sizes)
+        total = np.repeat(np.add.reduceat(n, at), sizes)
         keep = total >= 2
         return pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(h[keep]), pa.array(total[keep] > hot)], schema=_WANTED)
 
@@ -357,35 +380,32 @@ def _joined(flat: list[int]) -> list[int]:
 
 
 def _covered_ranges(rows: list[tuple], length: int) -> list[tuple]:
-    """Ranges of whole groups of rows ``(route, segment, doc, row, bucket, at)``."""
-    number: dict[tuple[int, bytes], int] = {}
+    """Ranges of whole groups of rows ``(route, segment, doc, row, bucket, at)``; a segment stands under one route only."""
+    number: dict[bytes, int] = {}
     least: list[int] = []
+    routes: list[int] = []
     of: dict[int, int] = {}
-    for route, segment, doc, *_ in rows:
-        i = number.setdefault((route, segment), len(number))
+    for route, segment, doc, _, _, _ in rows:
+        i = number.setdefault(segment, len(least))
         if i == len(least):
             least.append(doc)
+            routes.append(route)
             of[route] = of.get(route, 0) + 1
-        else:
-            least[i] = min(least[i], doc)
+        elif doc < least[i]:
+            least[i] = doc
     # Where all of an anchor's segments are equal there is nothing to merge.
-    several = [(s, i) for (route, s), i in number.items() if of[route] > 1]
-    windows = {}
+    several = [(s, i) for s, i in number.items() if of[routes[i]] > 1]
+    runs: dict[int, list[tuple[int, int]]] = {}
     if several:
-        found = smallest_documents([s for s, _ in several], np.array([least[i] for _, i in several], np.int64), length)
-        windows = {i: w for (_, i), w in zip(several, found, strict=True)}
+        found = earlier_runs([s for s, _ in several], np.array([least[i] for _, i in several], np.int64), length)
+        runs = {several[k][1]: r for k, r in found.items()}
     out = []
-    for route, segment, doc, row, bucket, at in rows:
-        i = number[route, segment]
+    for _, segment, doc, row, bucket, at in rows:
+        i = number[segment]
         if least[i] < doc:
-            runs = [(0, len(segment) - length + 1)]
-        elif i in windows:
-            runs = _runs(windows[i] < doc)
-        else:
-            continue
-        flat = [x for a in at for s, e in runs for x in (a + s, a + e - 1 + length)]
-        if flat:
-            out.append((bucket, row, flat))
+            out.append((bucket, row, [x for a in at for x in (a, a + len(segment))]))
+        elif i in runs:
+            out.append((bucket, row, [x for a in at for s, e in runs[i] for x in (a + s, a + e - 1 + length)]))
     return out
 
 
@@ -451,7 +471,7 @@ def remove_repeats(
     if length % 2 or not 1 <= k <= length:
         raise ValueError("the length must be even and an anchor no longer than it")
     spark = docs.sparkSession
-    importable(spark)
+    prepare_workers(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     # A row is known by its id and text: rows that repeat both have the same result.
