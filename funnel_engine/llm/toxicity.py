@@ -32,14 +32,14 @@ from .common import keep_texts, map_columns, table, texts
 #: Share of toxic texts where labels name no other class to estimate it from.
 PRIOR = 0.1
 THRESHOLD = 0.7
-MOST_POSITIVE = 4_000
-MOST_UNLABELLED = 8_000
+MOST_POSITIVE = 2_000
+MOST_UNLABELLED = 4_000
 #: Hashed word features.
 BITS = 20
 #: A feature needs so many confirmed texts, and so clear an excess in them.
 LEAST_TEXTS = 3
-LEAST_SCORE = 2.0
-LEAST_LIFT = 4.0
+LEAST_SCORE = 1.0
+LEAST_LIFT = 3.0
 #: Over the square root of the number of confirmed texts, the weight of the sparsity penalty.
 PENALTY = 2e-3
 STEPS = 300
