@@ -112,6 +112,35 @@ def test_url_filter_against_brute_force(spark):
     assert filter_urls(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
 
 
+#: Hosts of each class of site, and clean ones that come close.
+BAD_HOSTS = {
+    "gambling": ["casino-win.a.net", "m.casino-win.a.net", "my-casino.net", "free-bets.a.net", "bets-now.net", "poker-room.net", "www.big-jackpot.net"],
+    "ads and tracking": ["ads.a.net", "m.ads-track.a.net", "ads-7.net", "adserver-2.a.net", "eu-adserver.net"],
+    "adult": ["blog.adult-x.a.net", "adult-videos.net", "xxx-pics.net", "free-porn.net"],
+    "pharmacy": ["www.cheap-pills.a.net", "cheap-pills-24.net", "diet-pills.net", "viagra-shop.net"],
+    "spam": ["spam-farm.a.net", "spam-farm-2.a.net", "link-farm.net"],
+}
+CLEAN_HOSTS = [
+    "casino.net", "a.net", "downloads-track.a.net", "loads.a.net", "alphabets.net", "bets.net", "adulthood.net", "young-adult-x.net", "adult-education.a.net",
+    "adult-learning-centre.net", "ads-b.net", "uploads-b.net", "cheappills.net", "spills.net", "antispam-farm.net", "pokers.net", "casinos-of-old.net", "track.a.net",
+]
+
+
+def test_hosts_of_each_class_are_blocked(spark):
+    bad = [h for hosts in BAD_HOSTS.values() for h in hosts]
+    rows = [(h, f"https://{h.title()}{path}") for h in bad + CLEAN_HOSTS for path in ("", "/en/12?x=casino-win.", "/a-b/c.html#ads.")]
+    pages = spark.createDataFrame(rows, "page_id string, url string")
+    got = collections.defaultdict(set)
+    for r in filter_urls(pages).collect():
+        got[r.page_id].add((r.verdict, r.rule))
+    assert {h for h in bad if got[h] != {("block", None)}} == set()
+    assert {h for h in CLEAN_HOSTS if got[h] != {("allow", None)}} == set()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id VARCHAR, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", rows)
+    assert {(r[0], r[4]) for r in con.execute(llm.oracle_sql()["op3_url_filter"]).fetchall()} == {(h, "block" if h in bad else "allow") for h in bad + CLEAN_HOSTS}
+
+
 def test_rule_tokens_are_complete(spark):
     rules = spark.createDataFrame([("block", p, None) for p in ["||example.org/en/1", "ab/cd-ef", "*x/yy/z*", "|http", "nothing"]], "verdict string, pattern string, rule string")
     got = {r.pattern: set(r.tokens) - {""} for r in compiled(rules).collect()}
