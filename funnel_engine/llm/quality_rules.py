@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_columns, table, texts
 
-#: Window length in words -> largest share of word characters inside duplicated windows.
-LIMITS = {5: 0.30, 7: 0.25, 10: 0.20}
+#: Window length in words -> largest share of word characters inside duplicated windows. Below the base rule's 20 % of
+#: words, which rejects by itself whatever a higher limit would.
+LIMITS = {5: 0.15, 7: 0.13, 10: 0.10}
 #: Largest share of word characters on lines that occur twice or more.
-LINE_LIMIT = 0.30
+LINE_LIMIT = 0.20
 BASE_WINDOW = 5
 _SYMBOLS = b"#*$%&|<>"
 

@@ -280,6 +280,29 @@ def test_quality_verdict(spark):
     assert got[1].base_failed and got[1].n_repeat_words == 100 and got[2].base_failed
 
 
+def test_quality_limits_decide_beyond_the_base_rule(spark):
+    fresh = lambda n, k=0: " ".join(f"w{i:03}" for i in range(k, k + n))  # noqa: E731  # 4 characters a word
+    fives = lambda n: "\n".join(f"{fresh(5)} x{i:03}" for i in range(n))
+    line = "aaaaaaaaaa bbbbbbbbbb cccccccccc dddddddddd"  # 4 words: in no window of 5
+    rejected = {
+        "5 words": f"{fives(2)} {fresh(50, 100)}",  # 10 of 62 words in windows of 5, none in 7
+        "7 words": f"{fresh(7)} x {fresh(7)} {fresh(88, 100)}",  # 14 of 103 in windows of 7, none in 10
+        "10 words": f"{fresh(10)} x {fresh(10)} {fresh(160, 100)}",  # 20 of 181 in windows of 10
+        "lines": f"{line}\nx\n{line}\ny\n{fresh(60, 100)}",
+    }
+    kept = {
+        "clean": fresh(100),
+        "5 below": f"{fives(2)} {fresh(70, 100)}",
+        "7 below": f"{fresh(7)} x {fresh(7)} {fresh(110, 100)}",
+        "10 below": f"{fresh(10)} x {fresh(10)} {fresh(200, 100)}",
+        "lines below": f"{line}\nx\n{line}\ny\n{fresh(90, 100)}",
+    }
+    rows = [(k, t) for k, t in (rejected | kept).items()]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {k for k, r in got.items() if not r.kept} == set(rejected)
+
+
 # -- SentencePiece --------------------------------------------------------
 
 
