@@ -14,7 +14,8 @@ texts whole. Its inputs are the words alone: no id, label, language or source.
 
 Null and empty texts have no words and get the score of the bias. Labels that
 are null or missing confirm nothing; an id with several labels is confirmed by
-any of them. Without a confirmed text every score is 0. Repeated rows are scored alike.
+any of them. Without a confirmed text every score is 0. Repeated rows are scored alike;
+where several texts share an id, the one with the smallest digest is learnt from.
 """
 
 from __future__ import annotations
@@ -161,7 +162,9 @@ def train(
     sample = [(r._id, 1) for r in positive.collect()] + [(r._id, 0) for r in other.collect()]
     chosen = docs.sparkSession.createDataFrame(sample, "_id string, positive int")
     own = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = own.join(F.broadcast(chosen), "_id").select("positive", "text")  # at most the two sample bounds
+    # One text of each chosen id, however many rows repeat it: at most the two sample bounds.
+    one = F.min_by("text", F.sha2("text", 256)).alias("text")
+    rows = own.join(F.broadcast(chosen), "_id").groupBy("_id", "positive").agg(one).select("positive", "text")
     got = map_columns(rows, make, "positive int, features binary", 64).collect()
     sets = {k: [np.frombuffer(x, np.int32) for x in sorted(bytes(r.features) for r in got if r.positive == k)] for k in (0, 1)}
     return fit(sets[1], sets[0], prior=prior)

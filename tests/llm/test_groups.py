@@ -186,6 +186,22 @@ def test_toxicity_odd_rows(spark):
     assert tox.score_texts(docs.limit(0), model).count() == 0
 
 
+def test_a_repeated_id_counts_once_in_the_fit(spark, monkeypatch):
+    rows = [(i, f"clean{i} words{i % 7} moron{'s' * (i % 3)}" if i % 5 == 0 else f"clean{i} words{i % 7}") for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(60)], "doc_id bigint, toxic int")
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    hot = [min(i for i in learnt if i % 5 == 0), min(i for i in learnt if i % 5)]  # one confirmed, one other
+    repeats = [(i, f"another text {k}") for i in hot for k in range(300)]
+    docs = spark.createDataFrame(rows + repeats, "doc_id bigint, text string")
+    fitted = []
+    monkeypatch.setattr(tox, "fit", lambda p, u, **k: fitted.append((len(p), len(u), sorted(x.tobytes() for x in p + u))))
+    tox.train(docs, labels)
+    tox.train(spark.createDataFrame((rows + repeats)[::-1], docs.schema).repartition(3), labels)
+    assert fitted[0] == fitted[1] and fitted[0][:2] == (sum(i % 5 == 0 for i in learnt), len(learnt))
+    tox.train(docs, labels, most_positive=2, most_unlabelled=10)
+    assert fitted[2][:2] == (2, 10)
+
+
 # -- MinHash --------------------------------------------------------------
 
 
