@@ -28,13 +28,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_texts, map_columns, table, texts
+from .common import keep_texts, map_columns, stored, table, texts
 
 #: Share of toxic texts where labels name no other class to estimate it from.
 PRIOR = 0.1
 THRESHOLD = 0.7
-MOST_POSITIVE = 2_000
-MOST_UNLABELLED = 4_000
+MOST_POSITIVE = 4_000
+MOST_UNLABELLED = 8_000
 #: Hashed word features.
 BITS = 20
 #: A feature needs so many confirmed texts, and so clear an excess in them.
@@ -131,6 +131,25 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float =
     return Model({f: float(w[i]) for f, i in index.items() if w[i]}, b)
 
 
+def _frequent(sample: DataFrame, n_p: int, n_u: int) -> np.ndarray:
+    """Sorted features of ``sample(positive, features)`` with the texts and the lift that ``telling`` asks for, counted in Spark."""
+
+    def make():
+        def call(kind, packed):
+            sets = [np.frombuffer(x, np.int32) for x in packed]
+            f, at = np.unique(np.concatenate(sets), return_inverse=True)
+            p = np.bincount(at, np.repeat(kind, [len(x) for x in sets]), len(f)).astype(np.int64)
+            return [f, p, np.bincount(at, minlength=len(f)) - p]
+
+        return call
+
+    have = map_columns(sample, make, "feature int, p bigint, u bigint").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    # A hair below the limit: telling() settles the last digit.
+    lift = F.col("p") / max(1, n_p) >= (LEAST_LIFT - 1e-6) * F.greatest(F.col("u") / max(1, n_u), F.lit(1e-9))
+    found = have.where((F.col("p") >= LEAST_TEXTS) & lift).select("feature").toArrow()
+    return np.sort(found.column("feature").to_numpy().astype(np.int32))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -165,7 +184,14 @@ def train(
     # One text of each chosen id, however many rows repeat it: at most the two sample bounds.
     one = F.min_by("text", F.sha2("text", 256)).alias("text")
     rows = own.join(F.broadcast(chosen), "_id").groupBy("_id", "positive").agg(one).select("positive", "text")
-    got = map_columns(rows, make, "positive int, features binary", 64).collect()
+    own = stored(map_columns(rows, make, "positive int, features binary", 64), "toxicity-sample")
+    # Only features that may be telling leave the workers; fit() decides on the same counts.
+    telling_ones = _frequent(own, sum(k for _, k in sample), sum(1 - k for _, k in sample))
+
+    def narrow():
+        return lambda kind, packed: [kind, [np.intersect1d(np.frombuffer(x, np.int32), telling_ones, assume_unique=True).tobytes() for x in packed]]
+
+    got = map_columns(own, narrow, "positive int, features binary").collect()
     sets = {k: [np.frombuffer(x, np.int32) for x in sorted(bytes(r.features) for r in got if r.positive == k)] for k in (0, 1)}
     return fit(sets[1], sets[0], prior=prior)
 

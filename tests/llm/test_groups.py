@@ -202,6 +202,27 @@ def test_a_repeated_id_counts_once_in_the_fit(spark, monkeypatch):
     assert fitted[2][:2] == (2, 10)
 
 
+def test_rare_kind_in_a_large_sample(spark, monkeypatch):
+    """A kind of toxicity in 6 of 3,600 confirmed texts, none of them among the first 2,000 in the sample's order."""
+    ids = spark.range(5400).select(F.col("id").cast("string").alias("i")).where(~tox.held_out(F.col("i"))).orderBy(F.xxhash64("i", F.lit(17)), "i")
+    confirmed = [int(r.i) for r in ids.collect()][:3600]
+    assert len(confirmed) > 3500
+    kinds = dict.fromkeys(confirmed, "moron") | dict.fromkeys(confirmed[-6:], "blackguard")
+    rows = [(i, f"plain{i % 50} talk {kinds.get(i, '')}") for i in range(24_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    fitted, fit = [], tox.fit
+    monkeypatch.setattr(tox, "fit", lambda p, u, **k: fitted.append((p, u)) or fit(p, u, steps=20, **k))
+    model = tox.train(docs, spark.createDataFrame([(i, 1) for i in confirmed], "doc_id bigint, toxic int"), prior=0.3)
+    (p, u), rare = fitted[0], set(tox.word_features(b"blackguard"))
+    assert (len(p), sum(bool(rare & set(x.tolist())) for x in p), len(u)) == (len(confirmed), 6, 8_000)
+    assert rare & set(model.weights) and set(tox.word_features(b"moron")) & set(model.weights)
+    texts = dict(rows)
+    full = [tox.features(texts[i]) for i in confirmed]
+    others = [r.i for r in spark.range(24_000).select(F.col("id").cast("string").alias("i")).where(~tox.held_out(F.col("i"))).orderBy(F.xxhash64("i", F.lit(17)), "i").limit(8000).collect()]
+    assert tox.telling(p, u) == tox.telling(full, [tox.features(texts[int(i)]) for i in others])  # nothing is lost on the way
+    assert sum(map(len, p + u)) < sum(map(len, full))
+
+
 # -- MinHash --------------------------------------------------------------
 
 
