@@ -7,8 +7,9 @@ and corrected for chance collisions, estimate the similarity. Pairs whose
 estimate is clearly below the threshold go no further; the others are confirmed
 on the full sets.
 
-Documents with equal sets are one class, represented by the smallest id, so
-copies make no pairs. Members of a band's bucket are first compared with the
+Documents with equal sets are one class with a number of its own, so copies make
+no pairs, and an id on several texts is in several classes; components get their
+smallest document id at the end. Members of a band's bucket are first compared with the
 bucket's smallest class only. Where that leaves members of one bucket in
 different components, those outside the smallest one's component are compared with
 all members of other components, so no link between different sets is lost to
@@ -21,7 +22,7 @@ bands of 5 miss one at 0.85 with probability 7e-7, one at 0.8 with 5e-5.
 
 Ids must be integers. Null and empty texts have no shingles, link with nothing and are kept; a row
 without an id links with nothing, keeps a null component and is kept. Rows that
-repeat an id are one document: they stay or go together.
+repeat an id with one text stay or go together; those with other texts are judged by themselves.
 """
 
 from __future__ import annotations
@@ -124,7 +125,7 @@ def packed(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, packed``; without shingles the last three are null."""
+    """``doc_id, n_shingles, digest, bands, packed, text_digest``; without shingles the three in the middle are null."""
 
     def make():
         shingles = shingler(words)
@@ -137,12 +138,12 @@ def signatures(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text
                 least = np.stack([minima(sets[i]) for i in some])
                 for i, b, p in zip(some, band_keys(least), packed(least), strict=True):
                     digest[i], bands[i], low[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), b, p
-            return [ids, [len(s) for s in sets], digest, bands, low]
+            return [ids, [len(s) for s in sets], digest, bands, low, [hashlib.sha256(t.encode()).digest() for t in bodies]]
 
         return call
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, packed array<bigint>"
+    schema = f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, packed array<bigint>, text_digest binary"
     return map_columns(texts(docs, id_col, text_col), make, schema)
 
 
@@ -259,27 +260,38 @@ def _compare_buckets(percent: int):
     return run
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, shingles`` of the documents named in ``ids(id)``."""
+def shingle_sets(docs: DataFrame, classes: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, shingles`` of the classes in ``classes(id, digest, doc_id)``, from the texts of ``doc_id`` that have the digest."""
 
     def make():
         shingles = shingler(words)
-        return lambda ids, bodies: [ids, [shingles(t).view(np.int64) for t in bodies]]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    own = texts(docs, id_col, text_col).join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    return map_columns(own, make, f"id {kind}, shingles array<bigint>", 128)
+        def call(bodies):
+            sets = [shingles(t) for t in bodies]
+            return [[hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], [x.view(np.int64) for x in sets]]
+
+        return call
+
+    own = texts(docs, id_col, text_col).join(classes.select("doc_id"), "doc_id", "left_semi").select("text")
+    sets = map_columns(own, make, "digest binary, shingles array<bigint>", 128).dropDuplicates(["digest"])
+    return sets.join(classes.select("id", "digest"), "digest").select("id", "shingles")
 
 
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row; links join sets with ``100 * intersection >= percent * union``."""
+    return _judged(docs, words, percent, id_col, text_col, block).drop("text_digest")
+
+
+def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str, block: int = BLOCK) -> DataFrame:
+    """``near_duplicates`` and the SHA-256 of the text."""
     signed = stored(signatures(docs, words, id_col, text_col), "minhash-signatures")
     classes = stored(
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"), F.any_value("packed").alias("packed")),
+        .agg(F.min("doc_id").alias("doc_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"), F.any_value("packed").alias("packed"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "minhash-classes",
     )
     keys = classes.select("id", F.explode("bands").alias("key"))
@@ -294,8 +306,8 @@ def near_duplicates(
 
     # Round 1: each member with the first of its bucket.
     pairs = stored(sides(members.where("id != first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()), "minhash-pairs")
-    ids = members.select("id").distinct()
-    sets = stored(shingle_sets(docs, ids, words, id_col, text_col).dropDuplicates(["id"]), "minhash-sets")
+    named = classes.select("id", "digest", "doc_id").join(members.select("id").distinct(), "id", "left_semi")
+    sets = stored(shingle_sets(docs, named, words, id_col, text_col), "minhash-sets")
     links = stored(_confirmed(pairs, sets, percent), "minhash-links")
     found = stored(connected_components(links, "minhash-round1"), "minhash-round1")
 
@@ -316,15 +328,18 @@ def near_duplicates(
     links = more.union(found.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b")))
     found = connected_components(links, "minhash-round2")
 
-    own = classes.select("digest", F.col("id").alias("class_id")).join(found.withColumnRenamed("id", "class_id"), "class_id", "left")
-    own = own.select("digest", F.coalesce("component", "class_id").alias("component"))
-    rows = signed.select("doc_id", "n_shingles", "digest").join(own, "digest", "left")
+    own = classes.select("digest", "id", "doc_id").join(found, "id", "left").withColumn("number", F.coalesce("component", "id"))
+    own = stored(own.select("digest", "number", "doc_id"), "minhash-placed")
+    least = own.groupBy("number").agg(F.min("doc_id").alias("component"))
+    own = own.select("digest", "number").join(least, "number").select("digest", "component")
+    rows = signed.select("doc_id", "n_shingles", "digest", "text_digest").join(own, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "text_digest",
     )
 
 
@@ -332,8 +347,9 @@ def drop_near_duplicates(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, of the document with the smallest id of each group."""
-    gone = near_duplicates(docs, words, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(stored(gone, "minhash-gone"), id_col, "left_anti").select(*docs.columns)
+    gone = _judged(docs, words, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("text_digest").alias("_text")).distinct()
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    return docs.join(stored(gone, "minhash-gone"), (docs[id_col] == F.col("_gone")) & (digest == F.col("_text")), "left_anti")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -288,6 +288,17 @@ def test_minhash_odd_rows(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_id_on_several_texts(spark):
+    """The sets of each text count, not those of an arbitrary one of the id's."""
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    rows = [(1, text(k)) for k in range(8)] + [(10 + k, text(k) + " more") for k in range(8)] + [(20, text(30)), (30, text(31)), (30, text(30)), (40, text(31) + " x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(df, 3, 85).collect()}
+    near = {(10 + k, 1, False) for k in range(8)}
+    assert got == {(1, 1, True), *near, (20, 20, True), (30, 30, True), (30, 20, False), (40, 30, False)}
+    assert sorted(map(tuple, drop_near_duplicates(df, 3, 85).collect())) == sorted([*rows[:8], (20, text(30)), (30, text(31))])
+
+
 def test_estimate_is_close_to_the_similarity(spark):
     rng = np.random.RandomState(2)
     for share in (0.5, 0.85):
