@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_bpe import op12_byte_bpe
 from .embedding_dedup import op7_embedding_dedup
 from .minhash_dedup import op10_minhash
 from .mixing import OP1_SQL, op1_mixing
+from .periodic_runs import op11_periodic_runs
 from .quality_rules import op8_quality_rules
 from .secret_scan import op5_secret_scan
 from .sentencepiece_codec import op9_sentencepiece
@@ -29,6 +31,8 @@ OPERATORS = (
     op8_quality_rules,
     op9_sentencepiece,
     op10_minhash,
+    op11_periodic_runs,
+    op12_byte_bpe,
 )
 
 
