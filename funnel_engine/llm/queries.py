@@ -18,6 +18,7 @@ from .suffix_dedup import op6_suffix_dedup
 from .token_counts import op4_token_counts
 from .toxicity import op2_toxicity
 from .url_filter import OP3_SQL, op3_url_filter
+from .whitening import op13_whitening
 
 
 OPERATORS = (
@@ -33,6 +34,7 @@ OPERATORS = (
     op10_minhash,
     op11_periodic_runs,
     op12_byte_bpe,
+    op13_whitening,
 )
 
 
