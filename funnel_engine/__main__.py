@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="parquet, or csv to add CSV copies of every output")
     p.add_argument("--master", default=None, help="Spark master, e.g. local[8], yarn or spark://host:port (default: the platform's)")
-    p.add_argument("--date-format", action="append", default=None, help="pattern of the date column; repeat for several (default: ISO)")
+    p.add_argument("--date-format", action="append", default=None, help="pattern of the date column; repeat for several (default: ISO, or found from the data)")
     p.add_argument("--id-type", default="bigint", choices=["bigint", "string"], help="type of user and session ids")
     p.add_argument("--bad-ids", default="fail", choices=["fail", "null"], help="what a bigint id that does not parse does")
     p.add_argument("--multi-line", action="store_true", help="allow line ends inside quoted CSV fields")

@@ -9,12 +9,12 @@ and re-run the whole scan and aggregation.)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import bigint_sum, flag_exact, money_terms, money_value, ratio
-from .cells import cell_sums, event_sums, users_by
-from .grouping import combine_on_keys, sums_and_distinct
+from .cells import cell_sums, event_sums
+from .grouping import sums_and_distinct
 
 KEYS = ["channel", "campaign_type"]
 _SUMS = ["carts", "checkouts", "orders", "discounted_sessions"]
@@ -51,10 +51,16 @@ def campaign_performance(events: DataFrame, ordered: bool = True, split_distinct
     return _finish(grouped, ordered)
 
 
-def campaigns_from_cells(cells: DataFrame, users: DataFrame, ordered: bool = True) -> DataFrame:
-    """``campaign_performance`` from folded cells and ``distinct_users``."""
-    sums = cells.groupBy(*KEYS).agg(*cell_sums("ids", _SUMS))
-    return _finish(combine_on_keys(sums, users_by(users, KEYS), KEYS), ordered)
+def campaigns_from_cells(cells: DataFrame, ordered: bool = True) -> DataFrame:
+    """``campaign_performance`` from folded cells."""
+    return _finish(cells.groupBy(*KEYS).agg(*cell_sums("ids", _SUMS), bigint_sum("users_campaign").alias("users")), ordered)
+
+
+def campaign_rank(revenue: str = "revenue") -> Column:
+    """A struct whose least value is the top campaign's: most revenue (NaN above all, null last), then the keys, null last."""
+    value = F.col(revenue)
+    keys = [x for k in KEYS for x in (F.col(k).isNull().alias(f"no_{k}"), F.col(k))]
+    return F.struct(value.isNull().alias("none"), (~F.isnan(value)).alias("number"), (-value).alias("less"), *keys, value.alias(revenue))
 
 
 def campaign_basic(sessions: DataFrame, ordered: bool = True, split_distinct: bool = True) -> DataFrame:

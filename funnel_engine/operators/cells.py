@@ -1,17 +1,22 @@
 """Additive sums of the session table, from its rows or from cells folded once.
 
-``cells`` folds the base table to one row per month and combination of the five
-dimensions, with every sum that the KPIs add up; ``distinct_users`` counts users
-for all their groupings in one grouping-sets pass. Both are small, whatever the
-table's size, so a pipeline writes them once and builds its KPIs from them: two
-scans of the session table instead of two per KPI.
+``cells`` folds the base table, in one scan, to one row per month and combination of
+the five dimensions, with every sum that the KPIs add up. Distinct users are made
+additive too: sessions are first folded to one row per user and cell, and for each
+grouping that counts users a user is counted in one of their cells of each group, the
+first in key order. A group's distinct users are then the sum over its cells. The cells
+are few, whatever the table's size, so a pipeline writes them once and builds all its
+KPIs but the customers' from them.
+
+A user with a third of all sessions is folded per task and then per cell, on all keys,
+before the user's cells (at most one per combination) meet in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import bigint_sum, money_terms, terms_sum
@@ -22,6 +27,10 @@ FLAG_SUMS = dict(zip(["visits", "views", "carts", "checkouts", "orders"], [flag
     "discounted_sessions": DISCOUNT[1]
 }
 CELL_KEYS = ["month", *DIMENSIONS]
+#: The cells' counts of users, each additive over the groups of its keys.
+USER_COUNTS = {"users_all": [], "users_channel": ["channel"], "users_campaign": ["channel", "campaign_type"], "users_month": ["month"]} | {
+    f"users_{d}": [d] for d in DIMENSIONS if d != "channel"
+}
 #: Groupings of the KPIs that count distinct users.
 USER_SETS = [["month"], *[[d] for d in DIMENSIONS], ["channel", "campaign_type"], []]
 
@@ -45,14 +54,29 @@ def cell_sums(mode: str = "ids", names: Sequence[str] = tuple(FLAG_SUMS)) -> lis
     return [bigint_sum({"ids": "session_ids", "rows": "session_rows"}[mode]).alias("sessions"), *[bigint_sum(n).alias(n) for n in names], *terms_sum()]
 
 
-def cells(events: DataFrame, also: Sequence[Column] = ()) -> DataFrame:
-    """One row per month and combination of dimensions; ``also`` adds further aggregates."""
-    return events.groupBy(*CELL_KEYS).agg(
-        session_count("ids").alias("session_ids"),
-        session_count("rows").alias("session_rows"),
-        *[bigint_sum(flag).alias(n) for n, flag in FLAG_SUMS.items()],
+def cells(events: DataFrame, flagged: str | None = None) -> DataFrame:
+    """One row per month and combination of dimensions: sums, first and last date and the additive user counts
+    (``USER_COUNTS``). ``flagged`` names a further flag column, summed as ``flagged_orders``."""
+    counts = {"session_ids": session_count("ids"), "session_rows": session_count("rows")}
+    counts |= {n: bigint_sum(flag) for n, flag in FLAG_SUMS.items()} | ({"flagged_orders": bigint_sum(flagged)} if flagged else {})
+    per_user = events.groupBy(*CELL_KEYS, "user_id").agg(
+        *[c.alias(n) for n, c in counts.items()],
         *money_terms("revenue"),
-        *also,
+        F.min("event_date").alias("first_date"),
+        F.max("event_date").alias("last_date"),
+    )
+    # Every window below holds its users together, so this is the only move they need.
+    per_user = per_user.repartition("user_id")
+    for name, keys in USER_COUNTS.items():
+        # Rows of nested key lists lie in one order, so that they share a sort.
+        rest = [k for k in ["channel", "campaign_type", *CELL_KEYS] if k not in keys]
+        first = F.row_number().over(Window.partitionBy("user_id", *keys).orderBy(*dict.fromkeys(rest))) == 1
+        per_user = per_user.withColumn(name, (first & F.col("user_id").isNotNull()).cast("int"))
+    return per_user.groupBy(*CELL_KEYS).agg(
+        *[bigint_sum(n).alias(n) for n in [*counts, *USER_COUNTS]],
+        *terms_sum(),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
     )
 
 
@@ -68,8 +92,3 @@ def distinct_users(events: DataFrame) -> DataFrame:
         .groupingSets(USER_SETS, *CELL_KEYS)
         .agg(F.grouping_id().alias("set"), F.countDistinct("user_id").alias("users"))
     )
-
-
-def users_by(users: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One grouping of ``distinct_users``."""
-    return users.where(F.col("set") == _number(keys)).select(*keys, "users")

@@ -21,11 +21,6 @@ def _stage_sums(events: DataFrame) -> DataFrame:
     return events.agg(*[F.sum(flag).cast("long").alias(f"_s{i}") for i, (_, flag, _) in enumerate(STAGES, 1)])
 
 
-def _cell_sums(cells: DataFrame) -> DataFrame:
-    name = {flag: n for n, flag in FLAG_SUMS.items()}
-    return cells.agg(*[F.sum(name[flag]).cast("long").alias(f"_s{i}") for i, (_, flag, _) in enumerate(STAGES, 1)])
-
-
 def _rows(sums: DataFrame, row_for) -> DataFrame:
     structs = [row_for(i, label) for i, (_, _, label) in enumerate(STAGES, 1)]
     return sums.select(F.inline(F.array(*structs)))
@@ -58,26 +53,41 @@ def funnel_summary(events: DataFrame, ordered: bool = True) -> DataFrame:
 
 def funnel_from_cells(cells: DataFrame, ordered: bool = True) -> DataFrame:
     """``funnel_summary`` from folded cells."""
-    return _summary(_cell_sums(cells), ordered)
+    return _summary(cells.agg(*cell_stage_sums()), ordered)
+
+
+def _stage_row(i: int, label: str) -> Column:
+    s = F.col(f"_s{i}")
+    prev = F.col(f"_s{i - 1}") if i > 1 else F.lit(None).cast("long")
+    conv_prev = conversion_from_previous(s, prev)
+    return F.struct(
+        F.lit(i).alias("stage_order"),
+        F.lit(label).alias("stage"),
+        s.alias("sessions"),
+        conv_prev.alias("conversion_from_previous"),
+        ratio(s, F.col("_s1")).alias("conversion_from_visit"),
+        (F.lit(1.0) - conv_prev).alias("dropoff_from_previous"),
+    )
 
 
 def _summary(sums: DataFrame, ordered: bool) -> DataFrame:
+    out = _rows(sums, _stage_row)
+    return out.orderBy("stage_order") if ordered else out
 
-    def row(i: int, label: str) -> Column:
-        s = F.col(f"_s{i}")
-        prev = F.col(f"_s{i - 1}") if i > 1 else F.lit(None).cast("long")
-        conv_prev = conversion_from_previous(s, prev)
-        return F.struct(
-            F.lit(i).alias("stage_order"),
-            F.lit(label).alias("stage"),
-            s.alias("sessions"),
-            conv_prev.alias("conversion_from_previous"),
-            ratio(s, F.col("_s1")).alias("conversion_from_visit"),
-            (F.lit(1.0) - conv_prev).alias("dropoff_from_previous"),
-        )
 
-    out = _rows(sums, row)
-    return out.orderBy("stage_order") if ordered else out
+def cell_stage_sums() -> list[Column]:
+    """Aggregates over cells, ``_s1`` to ``_s5``, that ``biggest_dropoff`` reads."""
+    name = {flag: n for n, flag in FLAG_SUMS.items()}
+    return [F.sum(name[flag]).cast("long").alias(f"_s{i}") for i, (_, flag, _) in enumerate(STAGES, 1)]
+
+
+def biggest_dropoff() -> Column:
+    """The stage that ``top_dropoff`` finds, within the one row of ``cell_stage_sums``."""
+    rows = F.array(*[_stage_row(i, label) for i, (_, _, label) in enumerate(STAGES, 1)])
+    ranked = F.transform(
+        rows, lambda r: F.struct(r.dropoff_from_previous.isNull().alias("none"), (-r.dropoff_from_previous).alias("less"), r.stage_order, r.stage.alias("stage"))
+    )
+    return F.array_min(ranked).stage
 
 
 def top_dropoff(funnel: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import money_value, ratio
-from .cells import cell_sums, event_sums, session_count, users_by  # noqa: F401  (session_count is part of this module's interface)
-from .grouping import combine_on_keys, sums_and_distinct
+from ..functions.expr import bigint_sum, money_value, ratio
+from .cells import cell_sums, event_sums, session_count  # noqa: F401  (session_count is part of this module's interface)
+from .grouping import sums_and_distinct
 
 _SUMS = ["views", "carts", "checkouts", "orders", "discounted_sessions"]
 
@@ -44,10 +44,9 @@ def monthly_kpis(
     return _finish(sums_and_distinct(events, ["month"], aggs, split=split_distinct), ordered)
 
 
-def monthly_from_cells(cells: DataFrame, users: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
-    """``monthly_kpis`` from folded cells and ``distinct_users``."""
-    sums = cells.groupBy("month").agg(*cell_sums(session_count_mode, _SUMS))
-    return _finish(combine_on_keys(sums, users_by(users, ["month"]), ["month"]), ordered)
+def monthly_from_cells(cells: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+    """``monthly_kpis`` from folded cells."""
+    return _finish(cells.groupBy("month").agg(*cell_sums(session_count_mode, _SUMS), bigint_sum("users_month").alias("users")), ordered)
 
 
 def monthly_kpis_basic(

@@ -11,15 +11,14 @@ users shuffle only de-duplicated ``(segment, user_id)`` pairs (see
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import money_value, ratio
+from ..functions.expr import bigint_sum, money_value, ratio
 from ..schema import DIMENSIONS
-from .cells import cell_sums, event_sums, users_by
-from .grouping import combine_on_keys, sets_and_distinct
+from .cells import cell_sums, event_sums
+from .grouping import sets_and_distinct
 
 ROLLUP_COLUMNS = [
     "dimension", "segment", "sessions", "users", "views", "carts", "checkouts", "orders", "revenue",
@@ -94,8 +93,10 @@ def segment_wallet_share(
     return _finish(_rollup(events, dimensions, session_count_mode, split_distinct), ordered)
 
 
-def segments_from_cells(cells: DataFrame, users: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
-    """``segment_wallet_share`` over all dimensions from folded cells and ``distinct_users``."""
-    sums = cells.groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS).agg(F.grouping_id().alias("_gid"), *cell_sums(session_count_mode, _SUMS))
-    counts = [users_by(users, [d]).select(F.lit(d).alias("dimension"), F.col(d).alias("segment"), "users") for d in DIMENSIONS]
-    return _finish(combine_on_keys(_labelled(sums, DIMENSIONS), reduce(DataFrame.union, counts), ["dimension", "segment"]), ordered)
+def segments_from_cells(cells: DataFrame, session_count_mode: str = "ids", ordered: bool = True) -> DataFrame:
+    """``segment_wallet_share`` over all dimensions from folded cells."""
+    counts = [bigint_sum(f"users_{d}").alias(f"_users_{d}") for d in DIMENSIONS]
+    sums = cells.groupingSets([[d] for d in DIMENSIONS], *DIMENSIONS).agg(F.grouping_id().alias("_gid"), *cell_sums(session_count_mode, _SUMS), *counts)
+    rollup = _labelled(sums, DIMENSIONS)
+    users = F.coalesce(*[F.when(F.col("dimension") == d, F.col(f"_users_{d}")) for d in DIMENSIONS])
+    return _finish(rollup.withColumn("users", users), ordered)

@@ -23,7 +23,10 @@ from ..operators.views import (
     wallet_view,
 )
 from ..schema import DIMENSIONS, RETENTION_HORIZONS
-from ..sinks.writers import read_outputs
+from ..sinks.published import OutputMemo
+
+#: Outputs that panels have read; a further look at them scans nothing until they change.
+MEMO = OutputMemo()
 
 PANEL_SOURCES = [
     "funnel_summary",
@@ -79,5 +82,5 @@ def load_panels(
     dimension: str = DIMENSIONS[0],
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Read the written outputs (CSV with its typed schemas) and build every panel."""
-    return panels(read_outputs(spark, out_dir, PANEL_SOURCES, fmt), months, dimension)
+    """Read the written outputs (CSV with its typed schemas; once, until they change) and build every panel."""
+    return panels(MEMO.read(spark, out_dir, PANEL_SOURCES, fmt), months, dimension)

@@ -1,8 +1,7 @@
 """Run summary: one typed row and its 12-line text rendering.
 
-Every input is a single-row frame (global aggregates, top-1 picks); they are
-attached to the totals row as scalar subqueries, and nothing is collected
-until the text is written.
+The row comes from the folded cells and the retention summary alone; nothing is
+collected until the text is written.
 """
 
 from __future__ import annotations
@@ -13,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import bigint_sum, money_terms, money_text, money_value, pct_text, ratio, terms_sum
-from ..operators.cells import users_by
-from ..operators.funnel import top_dropoff
+from ..operators.campaigns import KEYS as CAMPAIGN_KEYS
+from ..operators.campaigns import campaign_rank
+from ..operators.cells import FLAG_SUMS
+from ..operators.funnel import biggest_dropoff, cell_stage_sums
 from ..operators.grouping import sums_and_distinct
-from ..operators.views import top_campaign
 from ..schema import RETENTION_HORIZONS
 
 TITLE = "Funnel Analytics Run Summary"
@@ -39,63 +39,63 @@ def run_totals(clean: DataFrame) -> DataFrame:
     return _totals(agg)
 
 
-def totals_sums() -> list[Column]:
-    """What ``totals_from_cells`` needs of the cells, next to the KPIs' sums."""
+def _cell_totals() -> list[Column]:
+    """``run_totals``'s aggregates over cells that have ``flagged_orders``."""
     return [
-        F.min("event_date").alias("_min"),
-        F.max("event_date").alias("_max"),
-        bigint_sum("purchase_completed_flag").alias("flagged_orders"),
+        F.min("first_date").alias("_min"),
+        F.max("last_date").alias("_max"),
+        # No rows, no cells: the counts are 0 then, as over the table.
+        F.coalesce(bigint_sum("session_rows"), F.lit(0)).alias("sessions"),
+        F.coalesce(bigint_sum("users_all"), F.lit(0)).alias("users"),
+        bigint_sum("flagged_orders").alias("orders"),
+        *terms_sum(),
     ]
 
 
-def totals_from_cells(cells: DataFrame, users: DataFrame) -> DataFrame:
-    """``run_totals`` from folded cells (with ``totals_sums``) and ``distinct_users``."""
-    agg = cells.agg(
-        F.min("_min").alias("_min"),
-        F.max("_max").alias("_max"),
-        bigint_sum("session_rows").alias("sessions"),
-        bigint_sum("flagged_orders").alias("orders"),
-        *terms_sum(),
-    )
-    # No rows, no group: the count of users is 0 then.
-    return _totals(agg.withColumn("users", F.coalesce(users_by(users, []).scalar(), F.lit(0))))
+def totals_from_cells(cells: DataFrame) -> DataFrame:
+    """``run_totals`` from folded cells (with ``flagged_orders``)."""
+    return _totals(cells.agg(*_cell_totals()))
 
 
-def _totals(agg: DataFrame) -> DataFrame:
-    return agg.select(
+def _total_columns() -> list[Column | str]:
+    return [
         F.col("_min").cast("date").alias("start_date"),
         F.col("_max").cast("date").alias("end_date"),
         "sessions", "users", "orders",
         money_value().alias("revenue"),
         ratio("orders", "sessions").alias("visit_to_order_rate"),
-    )
+    ]
 
 
-def run_summary(
-    clean: DataFrame | None,
-    funnel: DataFrame,
-    retention: DataFrame,
-    campaigns: DataFrame,
-    totals: DataFrame | None = None,
-    horizons: Sequence[int] = RETENTION_HORIZONS,
-) -> DataFrame:
+def _totals(agg: DataFrame) -> DataFrame:
+    return agg.select(*_total_columns())
+
+
+def run_summary(cells: DataFrame, retention: DataFrame, horizons: Sequence[int] = RETENTION_HORIZONS) -> DataFrame:
     """One row: totals, retention rates, top campaign, biggest drop-off stage.
 
-    The one-row pieces are attached to the totals row as scalar subqueries.
-    ``totals`` (see ``totals_from_cells``) saves reading the clean table."""
+    Everything but the rates comes from one pass over the cells (with
+    ``flagged_orders``): they are folded to campaigns, and one global aggregate of
+    those gives the totals, the stage sums and, as the least rank, the top campaign.
+    The one row of ``retention`` is attached as a scalar subquery.
+    """
     rates = ["first_to_second_order_rate", *[f"d{h}_retention" for h in horizons]]
-    ret = retention.select(F.struct(*rates).alias("r")).scalar()
-    top = top_campaign(campaigns).select(F.struct("channel", "campaign_type", "revenue").alias("t")).scalar()
-    drop = top_dropoff(funnel).select("stage").scalar()
-    # Each subquery enters one projection; the fields are read from the columns.
-    pieces = (run_totals(clean) if totals is None else totals).withColumns({"_r": ret, "_t": top, "biggest_dropoff_stage": drop})
+    campaigns = cells.groupBy(*CAMPAIGN_KEYS).agg(
+        *[F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")],
+        *[bigint_sum(c).alias(c) for c in ["session_rows", "users_all", "flagged_orders", *FLAG_SUMS]],
+        *terms_sum(),
+    )
+    campaigns = campaigns.withColumn("revenue", money_value())
+    pieces = campaigns.agg(*_cell_totals(), *cell_stage_sums(), F.min(campaign_rank()).alias("_t"))
+    # The subquery enters one projection; the fields are read from its column.
+    pieces = pieces.withColumn("_r", retention.select(F.struct(*rates).alias("r")).scalar())
     return pieces.select(
-        *[c for c in pieces.columns if c not in ("_r", "_t", "biggest_dropoff_stage")],
+        *_total_columns(),
         *[F.col("_r").getField(c).alias(c) for c in rates],
         F.col("_t").getField("channel").alias("top_channel"),
         F.col("_t").getField("campaign_type").alias("top_campaign_type"),
         F.col("_t").getField("revenue").alias("top_campaign_revenue"),
-        "biggest_dropoff_stage",
+        biggest_dropoff().alias("biggest_dropoff_stage"),
     )
 
 

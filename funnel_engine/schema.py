@@ -82,4 +82,13 @@ OUTPUT_SCHEMAS = {
     + "".join(f"d{h}_retention DOUBLE, " for h in RETENTION_HORIZONS)
     + "avg_repeat_purchase_frequency DOUBLE, high_churn_risk_customers BIGINT, high_churn_risk_rate DOUBLE",
     "cleaning_report": "rows BIGINT, undated_rows BIGINT, bad_ids BIGINT",
+    "rejected_values": "column STRING, value STRING, reason STRING, row STRING",
+}
+# How the rows of an output lie in its one file: columns, ``-`` for descending (nulls last).
+OUTPUT_ORDER = {
+    "funnel_summary": ["stage_order"],
+    "monthly_growth_kpis": ["month"],
+    "segment_wallet_share": ["dimension", "-revenue", "segment"],
+    "campaign_performance": ["-revenue", "channel", "campaign_type"],
+    "run_summary_txt": ["line_no"],
 }

@@ -7,6 +7,7 @@ are unset there get filled in (see ``checkpoint_dir``).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,10 +38,59 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, app: str
     return spark
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a written table, in whatever file system it lies."""
+def _located(spark: SparkSession, path: str):
+    """The path and its file system, whatever that is."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or written table."""
+    p, fs = _located(spark, path)
+    fs.delete(p, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """``name, length, modification time`` of a written table's data files, by name; none if it does not exist."""
+    p, fs = _located(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f for f in found if not f[0].startswith(("_", ".")))
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; its folder is made if there is none."""
+    a, fs = _located(spark, source)
+    b, _ = _located(spark, target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if there is none."""
+    p, fs = _located(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file at once: readers see the old one or the whole new one."""
+    new, fs = _located(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(new, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark.sparkContext._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    new, old = fs.makeQualified(new), fs.makeQualified(_located(spark, path)[0])
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(new, old, options)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -146,18 +146,18 @@ def test_pipeline_scans_the_clean_table_three_times(spark, scratch_dir):
         plan = df._jdf.queryExecution().executedPlan().toString()
         # The customers' analysis end is a scalar subquery: a scan of one column.
         assert plan.count("FileScan") == (2 if name == "customer_retention_churn" else 1), plan
-        scans += 1
+        scans += plan.count("FileScan")
     assert scans == 3
 
 
 def test_totals_from_cells_equal_totals(spark):
     clean = clean_sessions(micro_raw(spark))
     base = folds(clean)
-    got, want = totals_from_cells(base["cells"], base["distinct_users"]), run_totals(clean)
+    got, want = totals_from_cells(base["cells"]), run_totals(clean)
     assert got.collect() == want.select(got.columns).collect()
     none = clean.where("false")
     base = folds(none)
-    assert totals_from_cells(base["cells"], base["distinct_users"]).first().users == 0
+    assert totals_from_cells(base["cells"]).first().users == 0
 
 
 def test_report_keeps_lines_with_missing_values(spark):
