@@ -10,13 +10,12 @@ of one customer's order rows into a single task.
   calendar day per customer. The second order's date is the first day on which
   the running count reaches 2, exactly the date of ``ROW_NUMBER() = 2`` in the
   order (date, session).
-* ``order_sequence`` (the explicit ``ROW_NUMBER``) range-partitions the orders
-  on the full sort key ``(user_id, order_date, session_id)``, so a heavy
-  customer's rows are split across many partitions. Each row's position inside
-  its sorted partition plus the number of the same customer's rows in earlier
-  partitions gives the row number. The range-partitioned frame is checkpointed
-  to the session's checkpoint folder, so both passes over it see the same
-  partitions and a lost executor does not change them.
+* ``order_sequence`` (the explicit ``ROW_NUMBER``) numbers orders within the user, day
+  and block of neighbouring session ids, hashed on all three, and adds the user's orders
+  in earlier days and blocks: a running count over one row per user, day and block. A
+  customer with a third of all orders is spread by day, and a day with very many by the
+  blocks. The orders move once, nothing runs before the result is asked for, and a lost
+  executor changes nothing, for no step depends on where rows happen to lie.
 * The analysis end date reaches the customer rows as a scalar subquery.
 """
 
@@ -29,10 +28,10 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import day_diff, flag_exact, money_terms, money_value, terms_sum
 from ..schema import CHURN_DAYS, CHURN_LABELS, RETENTION_HORIZONS
-from ..session import checkpoint_dir
-from .grouping import join_null_safe
 
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
+# Session ids in a block of ``order_sequence``: of one user and day, so many meet in one task at most.
+BLOCK_BITS = 16
+BLOCK_CHARS = 8
 
 
 def purchases(events: DataFrame, flag_col: str = "order_flag", date_col: str = "event_date") -> DataFrame:
@@ -42,6 +41,13 @@ def purchases(events: DataFrame, flag_col: str = "order_flag", date_col: str = "
     )
 
 
+def _block(session_id: str, kind: str) -> Column:
+    """Neighbouring ids in one block, in order: ids that share all but the last ``BLOCK_BITS`` bits, texts their first ``BLOCK_CHARS`` characters."""
+    if kind == "string":
+        return F.substring(session_id, 1, BLOCK_CHARS)
+    return F.shiftright(F.col(session_id).cast("long"), BLOCK_BITS)
+
+
 def order_sequence(
     events: DataFrame,
     num_partitions: int | None = None,
@@ -49,31 +55,24 @@ def order_sequence(
     date_col: str = "event_date",
 ) -> DataFrame:
     """Purchase rows numbered per customer by ``(order_date, session_id)``,
-    NULLs last: ``user_id, session_id, order_date, revenue, order_number``."""
-    spark = events.sparkSession
-    keys = [F.col("user_id").asc_nulls_last(), F.col("order_date").asc_nulls_last(), F.col("session_id").asc_nulls_last()]
+    NULLs last: ``user_id, session_id, order_date, revenue, order_number``.
+
+    Lazy. ``num_partitions`` sets the partitions of the orders' one shuffle (default: the session's)."""
     orders = purchases(events, flag_col, date_col)
-    # Without an explicit count the shuffle starts at the session's (AQE
-    # initial) partition number and AQE may merge neighbouring ranges, which
-    # are still contiguous key ranges, so the numbering stays exact.
-    ranged = orders.repartitionByRange(num_partitions, *keys) if num_partitions else orders.repartitionByRange(*keys)
-    ranged = (
-        ranged
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS))
-    )
-    checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
-    # Per (partition, customer): row count and position of the first row.
-    stats = ranged.groupBy("_pid", "user_id").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_start"))
-    earlier = Window.partitionBy("user_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
-    numbered = join_null_safe(ranged, offsets.select("_pid", "user_id", "_start", "_before"), ["_pid", "user_id"])
-    return numbered.select(
-        "user_id", "session_id", "order_date", "revenue",
-        (F.col("_pos") - F.col("_start") + F.col("_before") + F.lit(1)).cast("long").alias("order_number"),
+    block = _block("session_id", dict(orders.dtypes)["session_id"])
+    # One struct as the key: its NULL fields are equal to each other, in a join too.
+    orders = orders.withColumn("_k", F.struct("user_id", "order_date", block.alias("block")))
+    per_block = orders.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = (
+        Window.partitionBy("_k.user_id")
+        .orderBy(F.col("_k.order_date").asc_nulls_last(), F.col("_k.block").asc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = per_block.select(F.col("_k").alias("_b"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    moved = orders.repartition(num_partitions, "_k") if num_partitions else orders
+    inside = F.row_number().over(Window.partitionBy("_k").orderBy(F.col("session_id").asc_nulls_last()))
+    numbered = moved.withColumn("_at", inside).join(before, F.col("_k") == F.col("_b"))
+    return numbered.select("user_id", "session_id", "order_date", "revenue", (F.col("_before") + F.col("_at")).cast("long").alias("order_number"))
 
 
 def customer_orders(events: DataFrame, flag_col: str = "order_flag", date_col: str = "event_date") -> DataFrame:

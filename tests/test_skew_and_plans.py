@@ -33,10 +33,49 @@ def test_order_sequence_under_skew(spark):
     diff = got.select("user_id", "session_id", "order_number").exceptAll(want)
     assert diff.count() == 0
     assert got.count() == ev.count()
-    # the hot user is split over several range partitions
-    ranged = ev.repartitionByRange(8, "user_id", "event_date", "session_id")
-    parts = ranged.where("user_id = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts > 1
+
+
+def _numbers(df):
+    return df.select(
+        "user_id", "session_id",
+        F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("event_date").asc_nulls_last(), F.col("session_id").asc_nulls_last())).cast("long").alias("order_number"),
+    )
+
+
+def test_order_sequence_of_one_hot_day(spark):
+    # One user's one day holds nearly everything; a few other days, users, unknown users, dates and sessions.
+    ev = spark.range(200_000).select(
+        F.when(F.col("id") % 50 == 0, F.col("id") % 7).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.lit(3)).cast("long").alias("user_id"),
+        F.when(F.col("id") == 777, F.lit(None)).otherwise((F.col("id") - 60_000) * 3).alias("session_id"),
+        F.when(F.col("id") % 90 == 5, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int")))
+        .when(F.col("id") % 90 == 7, F.lit(None).cast("date"))
+        .otherwise(F.lit("2024-01-02").cast("date")).alias("event_date"),
+        F.lit(1.5).alias("revenue"),
+        F.lit(1).alias("order_flag"),
+    )
+    got = ops.order_sequence(ev)
+    assert got.select("user_id", "session_id", "order_number").exceptAll(_numbers(ev)).count() == 0 and got.count() == 200_000
+    # The hot day is cut into blocks of ids, each with a key of its own.
+    blocks = ev.where("user_id = 3 AND event_date = '2024-01-02'").groupBy(F.shiftright("session_id", 16)).count().collect()
+    assert len(blocks) >= 9 and max(r[1] for r in blocks) <= 1 << 16
+
+
+def test_order_sequence_of_text_ids(spark):
+    ev = _skewed_events(spark, 5000).withColumn("session_id", F.concat(F.lit("S"), F.col("session_id").cast("string")))
+    got = ops.order_sequence(ev).select("user_id", "session_id", "order_number")
+    assert got.exceptAll(_numbers(ev)).count() == 0 and got.count() == 5000
+
+
+def test_order_sequence_is_lazy_and_moves_orders_once(spark):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "order_sequence")
+    plan = _plan(ops.order_sequence(_skewed_events(spark)))
+    assert not jobs.getJobIdsForGroup("plan")
+    spark.sparkContext.setJobGroup("other", "")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # Orders, then the counts: per task and block, per user, back to blocks.
+    assert len(exchanges) + plan.count("BroadcastExchange") == 4, plan
+    assert "RangePartitioning" not in plan and "Checkpoint" not in plan and "Scan ExistingRDD" not in plan
 
 
 def test_customer_orders_under_skew(spark):
