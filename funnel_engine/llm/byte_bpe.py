@@ -21,6 +21,7 @@ columns are read, so further columns may have any name.
 from __future__ import annotations
 
 import base64
+import re
 import unicodedata
 from array import array
 from heapq import heappop, heappush
@@ -32,11 +33,17 @@ from pyspark.sql import functions as F
 
 from .common import map_columns, table, texts
 
-#: Distinct pre-tokens kept by a worker (some 100 MB at most), and the longest of them; a full cache starts anew.
-CACHE = 400_000
+#: Distinct pre-tokens in each of a worker's two caches (together some 200 MB at most), and the longest of them.
+CACHE = 500_000
 CACHE_CHARS = 64
 
 _BIT = [1 << i for i in range(256)]
+#: The usual pattern where all characters beyond ASCII are letters, for the quicker ``re``.
+_SPACE = r" \t\n\r\x0b\x0c"
+_LETTERS = r"A-Za-z\x80-\U0010ffff"
+_PLAIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_SPACE}{_LETTERS}0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+).findall
 
 
 def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -52,18 +59,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Packed(dict):
-    """Pre-tokens to their ids as int32 bytes; long ones are not kept."""
+    """Pre-tokens to their ids as int32 bytes. Long ones are not kept; a full cache keeps those used again."""
 
     def __init__(self, merge):
         super().__init__()
         self.merge = merge
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, pretoken: str) -> bytes:
-        ids = array("i", self.merge(pretoken.encode())).tobytes()
+        ids = self.old.get(pretoken)
+        if ids is None:
+            ids = array("i", self.merge(pretoken.encode())).tobytes()
         if len(pretoken) <= CACHE_CHARS:
             self[pretoken] = ids
         return ids
 
+    def age(self) -> None:
+        """Make room: what the last ``CACHE`` pre-tokens did not use is forgotten."""
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+
 
 class ByteCodec:
     """Encoder and decoder for a rank file in which every single byte is a token."""
@@ -77,11 +93,12 @@ class ByteCodec:
             raise ValueError("every byte must have a rank")
         self.pattern = public_tokenizers.PATTERN if pattern is None else pattern
         self.find = regex.compile(self.pattern).findall
+        self.plain = _PLAIN if self.pattern == public_tokenizers.PATTERN else self.find
         #: The rank queue, empty between pre-tokens: positions by rank, and the bits of the ranks.
         self.buckets: dict[int, list[int]] = {}
         self.words = [0] * ((max(self.ranks.values()) >> 8) + 1)
         self.packed = _Packed(self.merge)
-        self.known: set[str] = set()
+        self.letters: set[str] = set()
         self.stand_ins: dict[str, str] = {}
         # All tokens' bytes in one array, by id.
         size = max(self.ranks.values()) + 1
@@ -111,15 +128,20 @@ class ByteCodec:
         The libraries know different versions of Unicode, so code points that are new to either are looked up.
         """
         if not text.isascii():
-            new = set(text) - self.known
-            for c in new:
-                if unicodedata.category(c) == "Cn":
+            new = set(text) - self.letters
+            for c in [c for c in new if c > "\x7f"]:
+                kind = unicodedata.category(c)
+                if kind[0] == "L":
+                    self.letters.add(c)
+                elif kind == "Cn" and c not in self.stand_ins:
                     self.stand_ins[c] = self._stand_in(c)
-            self.known |= new
-            if self.stand_ins and any(c in text for c in self.stand_ins):
+            new -= self.letters
+            if self.stand_ins and not new.isdisjoint(self.stand_ins):
                 cuts = np.cumsum([0, *map(len, self.find(text.translate(str.maketrans(self.stand_ins))))]).tolist()
                 return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        return self.find(text)
+            if any(c > "\x7f" for c in new):
+                return self.find(text)
+        return self.plain(text)
 
     # -- encoding ---------------------------------------------------------
 
@@ -135,9 +157,10 @@ class ByteCodec:
         before = list(range(-1, n))
         pair = [rank_of(data[i : i + 2], -1) for i in range(n)]
         pair[-1] = -1
-        new = list(enumerate(pair))
+        changed = range(n)  # parts whose pairs are new
         while True:
-            for i, rank in new:
+            for i in changed:
+                rank = pair[i]
                 if rank < 0:
                     continue
                 if rank in buckets:
@@ -145,27 +168,28 @@ class ByteCodec:
                     continue
                 buckets[rank] = [i]
                 at = rank >> 8
-                if not words[at]:
+                word = words[at]
+                if not word:
                     top |= 1 << at
-                words[at] |= _BIT[rank & 255]
-            if not top:
-                break
-            # The leftmost position of the lowest rank.
-            at = (top & -top).bit_length() - 1
-            word = words[at]
-            rank = at << 8 | (word & -word).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                i = heappop(bucket)
+                words[at] = word | _BIT[rank & 255]
+            # The leftmost position of the lowest rank that is not stale: neither of the pair has merged meanwhile.
+            while top:
+                at = (top & -top).bit_length() - 1
+                word = words[at]
+                rank = at << 8 | (word & -word).bit_length() - 1
+                bucket = buckets[rank]
+                if len(bucket) > 1:
+                    i = heappop(bucket)
+                else:
+                    i = bucket[0]
+                    del buckets[rank]
+                    words[at] = word = word & word - 1
+                    if not word:
+                        top &= top - 1
+                if pair[i] == rank:
+                    break
             else:
-                del buckets[rank]
-                i = bucket[0]
-                words[at] = word = word & word - 1
-                if not word:
-                    top &= top - 1
-            if pair[i] != rank:
-                new = ()  # stale: one of the pair has merged meanwhile
-                continue
+                break
             gone = after[i]
             end = after[i] = after[gone]
             pair[gone] = -1
@@ -177,9 +201,9 @@ class ByteCodec:
             left = before[i]
             if left >= 0:
                 pair[left] = rank_of(data[left:end], -1)
-                new = ((i, pair[i]), (left, pair[left]))
+                changed = i, left
             else:
-                new = ((i, pair[i]),)
+                changed = (i,)
         out = []
         i = 0
         while i < n:
@@ -189,8 +213,7 @@ class ByteCodec:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text as int32."""
-        if len(self.packed) > CACHE:
-            self.packed.clear()
+        self.packed.age()
         return np.frombuffer(b"".join(map(self.packed.__getitem__, self.pretokens(text))), np.int32)
 
     # -- decoding ---------------------------------------------------------
