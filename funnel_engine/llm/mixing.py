@@ -39,6 +39,9 @@ SEED = 7
 #: Documents per piece of a leaf's order; a leaf has as many pieces as it needs.
 PIECE = 4096
 
+#: Ranges of capacity per weight to a doubling, in which siblings are summed up.
+RANGES = 1024
+
 _BIG = "decimal(38,0)"
 
 
@@ -68,19 +71,49 @@ def share_out(nodes: DataFrame, parents: Sequence[str]) -> DataFrame:
 
     Siblings fill up in the order of capacity per weight. Those that the level
     reached so far fills get their capacity, the others share the rest by weight.
+
+    The level is found from sums, not from a list of siblings: those with the same
+    capacity and weight share one fate, and sums over ranges of capacity per weight
+    (``RANGES`` to a doubling) tell which ranges fill up as a whole and which not at
+    all. Only a range in which the level ends is looked at in detail.
     """
-    family = Window.partitionBy(*parents)
-    order = family.orderBy(F.col("capacity").cast("double") / F.col("weight"), "name")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    family, columns = parents or ["_root"], nodes.columns
+    nodes = nodes.where("weight > 0").withColumn("_ratio", F.col("capacity").cast("double") / F.col("weight"))
+    if not parents:
+        nodes = nodes.withColumn("_root", F.lit(0))
     big = lambda c: F.col(c).cast(_BIG)
-    left = big("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0))
-    weight_left = F.sum("weight").over(family) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    full = big("capacity") * weight_left <= big("weight") * left
-    rest = big("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("capacity"))).over(family), F.lit(0))
-    rest_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(family)
-    nodes = nodes.where("weight > 0").withColumn("full", full).withColumn("rest", rest).withColumn("rest_weight", rest_weight)
+    place = F.coalesce(F.floor(F.log2("_ratio") * RANGES), F.lit(-1))  # no logarithm of 0
+    like = nodes.groupBy(*family, "capacity", "weight", "_ratio").agg(F.count("*").alias("_n"), F.any_value("budget").alias("budget"))
+    like = stored(like.withColumn("_range", place).withColumn("_c", big("capacity") * F.col("_n")).withColumn("_w", big("weight") * F.col("_n")), "mix-siblings")
+    ranges = like.groupBy(*family, "_range").agg(
+        F.sum("_c").alias("_cs"), F.sum("_w").alias("_ws"), F.min("_ratio").alias("_lo"), F.max("_ratio").alias("_hi"), F.any_value("budget").alias("budget")
+    )
+    earlier = Window.partitionBy(*family).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_left", big("budget") - F.coalesce(F.sum("_cs").over(earlier), F.lit(0))).withColumn(
+        "_heavy", F.sum("_ws").over(Window.partitionBy(*family)) - F.coalesce(F.sum("_ws").over(earlier), F.lit(0))
+    )
+    # Doubles decide only where a hair more or less would not matter.
+    left, heavy = F.col("_left"), F.col("_heavy")
+    none = F.col("_lo") * heavy.cast("double") * (1 - 1e-9) > left.cast("double")
+    rest, rest_heavy = left - F.col("_cs"), heavy - F.col("_ws")
+    every = (rest >= 0) & (F.col("_hi") * rest_heavy.cast("double") * (1 + 1e-9) <= rest.cast("double"))
+    ranges = ranges.select(*family, "_range", "_left", "_heavy", F.when(every, True).when(~none, None).otherwise(False).alias("_all"))
+    like = like.join(ranges, [*family, "_range"])
+    before = Window.partitionBy(*family, "_range").orderBy("_ratio").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_left") - F.coalesce(F.sum("_c").over(before), F.lit(0))
+    heavy = F.col("_heavy") - F.coalesce(F.sum("_w").over(before), F.lit(0))
+    full = big("capacity") * heavy <= big("weight") * left
+    kept = [*family, "capacity", "weight", "_c", "_w", "budget"]
+    fate = like.where("_all IS NULL").select(*kept, full.alias("full")).union(like.where("_all IS NOT NULL").select(*kept, F.col("_all").alias("full")))
+    fate = stored(fate, "mix-fates")
+    rests = fate.groupBy(*family).agg(
+        (F.any_value(big("budget")) - F.coalesce(F.sum(F.when(F.col("full"), F.col("_c"))), F.lit(0))).alias("rest"),
+        F.sum(F.when(~F.col("full"), F.col("_w"))).alias("rest_weight"),
+    )
+    nodes = nodes.join(fate.select(*family, "capacity", "weight", "full"), [*family, "capacity", "weight"]).join(rests, family)
     part = F.expr(f"(cast(weight as {_BIG}) * cast(rest as {_BIG})) div cast(rest_weight as {_BIG})")
-    return nodes.withColumn("given", F.when(F.col("full"), F.col("capacity")).otherwise(part).cast("bigint")).drop("full", "rest", "rest_weight")
+    given = F.when(F.col("full"), F.col("capacity")).otherwise(part).cast("bigint")
+    return nodes.select(*columns, given.alias("given"))
 
 
 def mix_plan(
@@ -105,10 +138,10 @@ def mix_plan(
         nodes = leaves.groupBy(*keys).agg((F.sum("tokens") * max_epochs).alias("capacity"))
         nodes = nodes.withColumn("weight", _weight(level, weights)).withColumn("name", F.col(names[depth]))
         if plan is None:
-            nodes = nodes.withColumn("budget", F.least(F.lit(total * percent // 100), F.sum("capacity").over(Window.partitionBy())))
+            nodes = nodes.withColumn("budget", F.lit(min(total * percent // 100, total * max_epochs)))
         else:
             nodes = nodes.join(plan, parents)
-        plan = share_out(nodes, parents).select(*keys, F.col("given").alias("budget"))
+        plan = stored(share_out(stored(nodes, "mix-nodes"), parents).select(*keys, F.col("given").alias("budget")), "mix-shares")
     plan = stored(
         leaves.where("tokens > 0").join(plan, names).select(
             *names, "tokens", "docs", F.col("budget").alias("share"), F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("prefix")
