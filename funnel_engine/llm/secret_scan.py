@@ -1,18 +1,26 @@
 """Secret scan: fixed patterns plus formats inferred from labelled credentials.
 
 The fixed patterns (assignments, access keys, long hex runs) label credentials
-in the corpus itself. For each label a bounded sample of distinct values becomes
-a prefix tree over character classes, whose states are merged when their symbol
+in the corpus itself, a bounded sample of distinct values each. Values of one format
+(the same length and classes of characters, whatever pattern found them) become a
+prefix tree over character classes, whose states are merged when their symbol
 and end frequencies are statistically compatible (Hoeffding bounds, red-blue
-order). The result is a probabilistic automaton per format, and one for the
-candidates that no pattern matched. Every candidate run of the corpus is then
-scored by its likelihood under each format; those that a format explains clearly
-better than the unlabelled one, and as well as its own examples, become spans
-of the kind ``format``. Spans of the fixed patterns always stay.
-
-Null and empty texts have no spans. Rows are independent; repeated rows give
-repeated results. Without labelled credentials in the corpus no span is added.
-Positions are code points, the end exclusive.
+order); values of rarer formats share a tree. The result is a probabilistic automaton
+per format, and one for the candidates that no pattern matched. Every candidate run of
+the corpus is then scored by its likelihood under each format; those that a format
+explains clearly better than the unlabelled one, and as well as its own examples,
+become spans of the kind ``format``. Spans of the fixed patterns always stay.
+
+Candidates are runs of letters, digits and ``+/_-`` of at least ``least_chars``
+characters (``LEAST_CHARS``) with a digit; ``digit=False`` takes runs of letters too.
+Shorter runs, and without that argument runs of letters alone, are never scored: the
+arguments trade reach against the words and names that are then scored.
+
+Null and empty texts have no spans, texts of any length are searched whole. Rows are
+independent; repeated rows give repeated results, and spans that start at the same place
+go by kind. Without labelled credentials in the corpus no span is added; an empty table
+gives no rows. Positions are code points, the end exclusive. Only the named columns are
+read; ``redact`` passes all others as they are.
 """
 
 from __future__ import annotations
@@ -21,6 +29,7 @@ import hashlib
 import math
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +43,10 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
-#: Candidates: runs of credential characters with a digit.
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}")
+#: Least length of a candidate.
+LEAST_CHARS = 16
+#: So many distinct values make a format of their own.
+LEAST_EXAMPLES = 5
 
 #: Distinct values per label that the automata are learnt from (those with the smallest hashes).
 SAMPLE = 500
@@ -61,10 +72,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
+@lru_cache
+def _candidate(least_chars: int, digit: bool) -> re.Pattern:
+    has_digit = "(?=[A-Za-z+/_-]*[0-9])" if digit else ""
+    return re.compile(rf"(?<![A-Za-z0-9+/_-]){has_digit}[A-Za-z0-9+/_-]{{{least_chars},}}")
+
+
+def candidates(text: str, base: list[tuple[int, int, int, str]], least_chars: int = LEAST_CHARS, digit: bool = True) -> list[tuple[int, int, str]]:
     """Runs that might be credentials and that no base span touches."""
     out, k, reach = [], 0, 0
-    for m in _CANDIDATE.finditer(text):
+    for m in _candidate(least_chars, digit).finditer(text):
         while k < len(base) and base[k][0] < m.end():
             reach = max(reach, base[k][2])
             k += 1
@@ -194,6 +211,8 @@ class Formats:
 
     known: list[tuple[Automaton, float]]
     other: Automaton
+    least_chars: int = LEAST_CHARS
+    digit: bool = True
 
     def odds(self, value: str) -> float:
         """Log odds of the best format that finds the value likely enough; minus infinity if none does."""
@@ -205,20 +224,33 @@ class Formats:
         return max(own) - rest
 
 
-def infer_formats(labelled: dict[str, list[str]]) -> Formats:
-    known = []
+def _shape(value: str) -> tuple[int, str]:
+    """Length and classes of characters, which values of one format have in common."""
+    return len(value), "".join(sorted(set(map(_symbol, value))))
+
+
+def infer_formats(labelled: dict[str, list[str]], least_chars: int = LEAST_CHARS, digit: bool = True) -> Formats:
+    """An automaton for each format with ``LEAST_EXAMPLES`` labelled values, one for all others, and the background's."""
+    shapes: dict[tuple[int, str], set[str]] = {}
     for label in KINDS[:3]:
-        if values := labelled.get(label):
-            a = infer(values)
-            per = sorted(a.log_likelihood(v) / (len(v) + 1) for v in values)
-            known.append((a, per[int(LEAST_QUANTILE * len(per))]))
-    return Formats(known, infer(labelled.get("none", [])))
+        for v in labelled.get(label, []):
+            shapes.setdefault(_shape(v), set()).add(v)
+    groups = [values for _, values in sorted(shapes.items()) if len(values) >= LEAST_EXAMPLES]
+    rare = {v for values in shapes.values() if len(values) < LEAST_EXAMPLES for v in values}
+    known = []
+    for values in [*groups, rare] if rare else groups:
+        a = infer(list(values))
+        per = sorted(a.log_likelihood(v) / (len(v) + 1) for v in values)
+        known.append((a, per[int(LEAST_QUANTILE * len(per))]))
+    return Formats(known, infer(labelled.get("none", [])), least_chars, digit)
 
 
 # -- Spark ----------------------------------------------------------------
 
 
-def labelled_values(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[str]]:
+def labelled_values(
+    docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, digit: bool = True
+) -> dict[str, list[str]]:
     """At most ``sample`` distinct values per label, from all documents; ``none`` are candidates without a label."""
 
     def make():
@@ -227,7 +259,7 @@ def labelled_values(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id
             for t in bodies:
                 base = base_spans(t)
                 got.update((KINDS[k], v) for _, k, _, v in base)
-                got.update(("none", v) for _, _, v in candidates(t, base))
+                got.update(("none", v) for _, _, v in candidates(t, base, least_chars, digit))
             pairs = sorted(got)
             return [[x for x, _ in pairs], [x for _, x in pairs]]
 
@@ -243,7 +275,7 @@ def labelled_values(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id
 def all_spans(text: str, formats: Formats, least: float = MIN_LOG_ODDS) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of fixed and inferred spans, in order."""
     base = base_spans(text)
-    more = [(s, 3, e) for s, e, v in candidates(text, base) if formats.odds(v) >= least]
+    more = [(s, 3, e) for s, e, v in candidates(text, base, formats.least_chars, formats.digit) if formats.odds(v) >= least]
     return sorted([(s, k, e) for s, k, e, _ in base] + more)
 
 
