@@ -26,7 +26,10 @@ repeated string meet in one task, and little else does:
 
 Ids must be integers. Null texts count as empty; texts shorter than ``length``
 lose nothing. Rows with a null id match nothing and keep all their bytes. Rows
-that repeat an id are judged each by its own text and never match each other.
+that repeat an id are judged each by its own text and never match each other; those
+that repeat id and text are searched once. A row is known by 128 bits of the SHA-256 of
+both. Very long texts are searched in overlapping parts; an empty table gives no rows;
+columns other than id and text are never read.
 """
 
 from __future__ import annotations
@@ -252,18 +255,21 @@ def earlier_runs(segments: list[bytes], docs: np.ndarray, length: int = LENGTH)
 _COUNTS = pa.schema([("hash", pa.int64()), ("place", pa.int64())])
 _WANTED = pa.schema([("bucket", pa.int32()), ("hash", pa.int64()), ("hot", pa.bool_())])
 _SEGMENTS = pa.schema(
-    [("route", pa.int64()), ("segment", pa.binary()), ("doc", pa.int64()), ("row", pa.int64()), ("bucket", pa.int32()), ("at", pa.list_(pa.int32()))]
+    [("route", pa.int64()), ("segment", pa.binary()), ("doc", pa.int64()), ("row", pa.binary()), ("bucket", pa.int32()), ("at", pa.list_(pa.int32()))]
 )
-_RANGES = pa.schema([("bucket", pa.int32()), ("row", pa.int64()), ("at", pa.list_(pa.int32()))])
+_RANGES = pa.schema([("bucket", pa.int32()), ("row", pa.binary()), ("at", pa.list_(pa.int32()))])
 _RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
+    [
+        ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
+        ("row", pa.binary()),
+    ]
 )
 _DDL = {
     "counts": "hash bigint, place bigint",
     "wanted": "bucket int, hash bigint, hot boolean",
-    "segments": "route bigint, segment binary, doc bigint, row bigint, bucket int, at array<int>",
-    "ranges": "bucket int, row bigint, at array<int>",
-    "result": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "segments": "route bigint, segment binary, doc bigint, row binary, bucket int, at array<int>",
+    "ranges": "bucket int, row binary, at array<int>",
+    "result": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, row binary",
 }
 
 
@@ -273,7 +279,7 @@ def _bytes(column: pa.ChunkedArray) -> list[bytes]:
 
 def _only_first(docs: pa.Table, copies: pa.Table) -> pa.Table:
     """``docs`` without the rows whose whole text a document with a smaller id has."""
-    return docs.filter(pc.invert(pc.is_in(docs["row"], copies["hash"].combine_chunks()))) if copies.num_rows else docs
+    return docs.filter(pc.invert(pc.is_in(docs["row"], copies["row"].combine_chunks()))) if copies.num_rows else docs
 
 
 def _count_anchors(length: int, k: int):
@@ -362,7 +368,7 @@ def _cut_segments(length: int, k: int):
                     else:  # texts come by id: a smaller document has it
                         covered.setdefault(row, []).extend((a + offset, b + length + offset))
         out = [(route, s, doc, row, bucket, at) for s, (doc, route, places) in first.items() for row, at in places.items()]
-        out += [(row, None, None, row, bucket, _joined(at)) for row, at in covered.items()]
+        out += [(int.from_bytes(row[:8], "little", signed=True), None, None, row, bucket, _joined(at)) for row, at in covered.items()]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SEGMENTS, strict=True)], schema=_SEGMENTS) if out else _SEGMENTS.empty_table()
 
     return run
@@ -452,7 +458,7 @@ def _remove(key: tuple, docs: pa.Table, ranges: pa.Table) -> pa.Table:
             kept.append(text[at:s])
             at = e
         kept = b"".join([*kept, text[at:]])
-        out.append((doc, len(text), len(text) - len(kept), len(gone) // 2, hashlib.sha256(kept).hexdigest()))
+        out.append((doc, len(text), len(text) - len(kept), len(gone) // 2, hashlib.sha256(kept).hexdigest(), row))
     cols = list(zip(*out, strict=True)) or [[] for _ in _RESULT]
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RESULT, strict=True)], schema=_RESULT)
 
@@ -475,26 +481,35 @@ def remove_repeats(
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     # A row is known by its id and text: rows that repeat both have the same result.
-    own = own.withColumn("row", F.xxhash64("doc_id", "text"))
+    digest = F.sha2("text", 256)
+    row = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest), 256)
+    own = own.withColumn("row", F.unhex(F.substring(row, 1, 32)))
     size = F.octet_length("text")
-    names = stored(own.select("doc_id", "row", size.alias("size"), F.unhex(F.sha2("text", 256)).alias("digest")), "repeat-names")
-    buckets = max(1, -(-(names.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
-    bucket = F.pmod("row", F.lit(buckets)).cast("int").alias("bucket")
-    own = own.select("*", bucket)
+    names = stored(own.select("doc_id", "row", size.alias("size"), F.unhex(digest).alias("digest")), "repeat-names")
+    total, rows, distinct = names.agg(F.sum("size"), F.count("*"), F.count_distinct("row")).first()
+    buckets = max(1, -(-(total or 0) // bucket_bytes))
+    bucket = F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int").alias("bucket")
+    every = names.select("row")
+    if distinct < rows:
+        # One of the rows that repeat id and text; folded per task, so that very many never meet.
+        own = own.groupBy("row").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("text").alias("text"))
+    own = own.select("doc_id", "text", "row", bucket)
     named = own.where("doc_id IS NOT NULL").where(size >= length)
 
     # Whole texts that a smaller document has lose every byte and need no search.
     names = names.where("doc_id IS NOT NULL").where(F.col("size") >= length)
     firsts = names.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = stored(names.join(firsts, "digest").where("doc_id > first").select(bucket, F.col("row").alias("hash")).distinct(), "repeat-copies")
-    copies = copies.select("bucket", "hash", F.lit(None).cast("boolean").alias("hot"))
+    copies = stored(names.join(firsts, "digest").where("doc_id > first").select(bucket, "row").distinct(), "repeat-copies")
+    copies = copies.select("bucket", F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("boolean").alias("hot"), "row")
 
     counts = named.groupBy("bucket").cogroup(copies.groupBy("bucket")).applyInArrow(_count_anchors(length, k), _DDL["counts"])
     wanted = stored(counts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_candidates(hot), _DDL["wanted"]), "repeat-anchors")
+    wanted = wanted.select("*", F.lit(None).cast("binary").alias("row"))
     segments = named.groupBy("bucket").cogroup(wanted.union(copies).groupBy("bucket")).applyInArrow(_cut_segments(length, k), _DDL["segments"])
     ranges = segments.repartition("route").sortWithinPartitions("route").mapInArrow(_merge_segments(length, merge_bytes), _DDL["ranges"])
-    ranges = stored(ranges, "repeat-ranges").union(copies.select("bucket", F.col("hash"), F.lit(None).cast("array<int>")))
-    return own.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInArrow(_remove, _DDL["result"])
+    ranges = stored(ranges, "repeat-ranges").union(copies.select("bucket", "row", F.lit(None).cast("array<int>")))
+    result = own.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInArrow(_remove, _DDL["result"])
+    return (result if distinct == rows else every.join(result, "row")).drop("row")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
