@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -118,6 +118,11 @@ def map_columns(
     return df.mapInArrow(run, out)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that they clash with no name given beside it; ``select('<its name>.*')`` restores them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

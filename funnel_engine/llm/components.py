@@ -35,3 +35,10 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
             break
     own = edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return own.union(edges.select("lo", "lo").distinct())
+
+
+#: DuckDB: ``component(id, least)`` from ``node(id)`` and ``link(a, b)``, by reaching along links in both directions.
+COMPONENT_SQL = """
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reached AS (SELECT id, id AS other FROM node UNION SELECT r.id, e.b FROM reached r JOIN both_ways e ON r.other = e.a),
+component AS (SELECT id, min(other) AS least FROM reached GROUP BY id)"""

@@ -14,8 +14,10 @@ bucket's smallest class only. Where that leaves members of one bucket in
 different components, those outside the smallest one's component are compared with
 all members of other components, so no link between different sets is lost to
 the shortcut, and a large group of copies never compares all its pairs. That
-second comparison runs in numpy over blocks of a bucket's members, which carry
-their sets; only links that join two components leave a block.
+second comparison runs in numpy: blocks of outside members meet blocks of all
+members, which carry their sets, so the rows moved grow with the members and with the
+outside ones, not with the square of the bucket; only links that join two components
+leave a block.
 
 A band misses a pair at similarity ``s`` with probability ``1 - s**ROWS``; all 25
 bands of 5 miss one at 0.85 with probability 7e-7, one at 0.8 with 5e-5.
@@ -35,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_columns, prepare_workers, stored, table, texts
-from .components import connected_components
+from .common import WORD, map_columns, prepare_workers, stored, table, texts, whole_row
+from .components import COMPONENT_SQL, connected_components
 
 WORDS = 5
 PERCENT = 80
@@ -50,6 +52,8 @@ PERMUTATIONS = PACKED * LANES
 SLACK = 0.17
 #: Members of a bucket that are compared at once; larger buckets are cut into blocks.
 BLOCK = 512
+#: Shingles of a block's members together, on average (8 bytes each).
+BLOCK_SHINGLES = 2_000_000
 #: Distinct word hashes kept per worker.
 CACHE = 200_000
 
@@ -187,13 +191,16 @@ def _similar(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
 
 
 def bucket_links(key: int, rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links that join different components among rows ``(side, id, component, outside, bands, packed, shingles)`` of one bucket.
+    """Links that join different components among rows ``(asks, id, component, outside, bands, packed, shingles)`` of one bucket.
 
-    With rows of two sides only pairs across them are compared. A pair is left to
-    the first band that both share, and of the links found only those are returned
-    that join components not joined yet.
+    Rows that ask are compared with those that do not, two outside members once. A
+    pair is left to the first band that both share, and of the links found only those
+    are returned that join components not joined yet.
     """
-    side, ids, comp, outside = (np.array(x) for x in list(zip(*rows, strict=True))[:4])
+    asks, ids, comp, outside = (np.array(x) for x in list(zip(*rows, strict=True))[:4])
+    asks = asks.astype(bool)
+    if asks.all() or not asks.any():
+        return []
     bands = np.array([r[4] for r in rows])
     low = np.array([r[5] for r in rows]).view(np.uint64)
     sets = [np.array(r[6], np.int64) for r in rows]
@@ -201,7 +208,6 @@ def bucket_links(key: int, rows: list[tuple], percent: int) -> list[tuple[int, i
     band = int(np.flatnonzero(bands[0] == key)[0])
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.cumsum(n) - n
-    across = side.min() != side.max()
     parent = {int(c): int(c) for c in comp}
 
     def find(x: int) -> int:
@@ -212,16 +218,15 @@ def bucket_links(key: int, rows: list[tuple], percent: int) -> list[tuple[int, i
 
     links = []
     mark = np.zeros(flat.max() + 1, np.int32)
-    for at in range(0, len(rows), 64):
-        part = np.arange(at, min(at + 64, len(rows)))
+    asking = np.flatnonzero(asks)
+    for at in range(0, len(asking), 64):
+        part = asking[at : at + 64]
         near = _similar(low[part], low, percent / 100 - SLACK)
         near &= np.minimum(n[part, None], n) * 100 >= np.maximum(n[part, None], n) * percent
-        near &= (comp[part, None] != comp) & outside[part, None]
-        near &= side[part, None] != side if across else (~outside | (ids[part, None] < ids))  # two outside members once
-        if across:
-            near &= ~outside | (ids[part, None] < ids)
-        for i in part[near.any(axis=1)]:
-            j = np.flatnonzero(near[i - at])
+        near &= (comp[part, None] != comp) & ~asks
+        near &= ~outside | (ids[part, None] < ids)  # two outside members once
+        for i, row in zip(part[near.any(axis=1)], near[near.any(axis=1)], strict=True):
+            j = np.flatnonzero(row)
             j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
             if not len(j):
                 continue
@@ -315,13 +320,25 @@ def _judged(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     placed = members.join(found, "id", "left").select("id", "key", "first", F.coalesce("component", "id").alias("c"))
     firsts = found.select(F.col("id").alias("first"), F.col("component").alias("fc"))
     placed = placed.join(firsts, "first", "left").select("id", "key", "c", (F.col("c") != F.coalesce("fc", "first")).alias("outside"))
-    mixed = placed.groupBy("key").agg(F.max("outside").alias("mixed"), F.count("*").alias("size")).where("mixed")
-    placed = placed.join(mixed.select("key", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "key")
-    placed = placed.withColumn("side", F.pmod(F.xxhash64("id"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = ["key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi")]
+    # Blocks of outside members meet blocks of all members, so copies grow with the outside members, not with the bucket's square.
+    # A block holds so many members, and fewer where sets are long.
+    placed = placed.join(classes.select("id", "n"), "id")
+    of_block = lambda members, shingles: F.greatest(F.ceil(members / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    outer = F.col("outside")
+    mixed = placed.groupBy("key").agg(
+        of_block(F.count("*"), F.sum("n")).alias("blocks"),
+        of_block(F.count_if(outer), F.sum(F.when(outer, F.col("n")))).alias("outer_blocks"),
+        F.max("outside").alias("mixed"),
+    )
+    placed = stored(placed.join(mixed.where("mixed").drop("mixed"), "key"), "minhash-mixed")
+    side = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks).cast("int")
+    to = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    row = ["key", "id", "c", "outside"]
+    asking = placed.where("outside").select(*row, side("outer_blocks", 1).alias("lo"), to("blocks").alias("hi"), F.lit(True).alias("asks"))
+    asked = placed.select(*row, side("blocks", 2).alias("hi"), to("outer_blocks").alias("lo"), F.lit(False).alias("asks"))
     # Sets travel with the rows, so that pairs are confirmed where they meet and none is written out.
-    wide = placed.select(*groups, "side", "id", "c", "outside").join(classes.select("id", "bands", "packed"), "id").join(sets, "id")
-    wide = wide.select("key", "lo", "hi", "side", F.col("id").cast("bigint").alias("id"), F.col("c").cast("bigint").alias("c"), "outside", "bands", "packed", "shingles")
+    wide = asking.unionByName(asked).join(classes.select("id", "bands", "packed"), "id").join(sets, "id")
+    wide = wide.select("key", "lo", "hi", "asks", F.col("id").cast("bigint").alias("id"), F.col("c").cast("bigint").alias("c"), "outside", "bands", "packed", "shingles")
     prepare_workers(docs.sparkSession)
     wide = wide.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     more = wide.mapInArrow(_compare_buckets(percent), "a bigint, b bigint")
@@ -347,10 +364,26 @@ def drop_near_duplicates(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, of the document with the smallest id of each group."""
-    gone = _judged(docs, words, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("text_digest").alias("_text")).distinct()
+    gone = _judged(docs, words, percent, id_col, text_col).where("NOT kept").select("doc_id", "text_digest").distinct()
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    return docs.join(stored(gone, "minhash-gone"), (docs[id_col] == F.col("_gone")) & (digest == F.col("_text")), "left_anti")
+    own = docs.select(F.col(id_col).alias("doc_id"), digest.alias("text_digest"), whole_row(docs).alias("row"))
+    return own.join(stored(gone, "minhash-gone"), ["doc_id", "text_digest"], "left_anti").select("row.*")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS ws FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS s FROM d, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) AS u(i)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+node AS (SELECT doc_id AS id FROM d),{COMPONENT_SQL}
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least AS component_id, d.doc_id = least AS kept
+FROM d JOIN component ON id = d.doc_id LEFT JOIN size ON size.doc_id = d.doc_id
+"""
