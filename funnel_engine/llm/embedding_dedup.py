@@ -10,14 +10,21 @@ first filter that both have.
 
 The number of directions and the threshold follow from the largest label's size,
 so that a vector is in about ``FILTERS`` filters and a filter of unrelated vectors
-holds about ``BUCKET`` of them at every size. Filters with more members (a large
-group of near copies) are cut into blocks by id, and pairs of blocks are compared
-in tasks of their own. Equal vectors are one class from the start.
+holds about ``BUCKET`` of them at every size. Equal vectors are one class, with a
+number of its own, from the start.
+
+A filter with many more members holds a large group of near copies. Vectors within
+half the threshold's angle of one of them are near each other without a look: such a
+*core* is counted by its size and joined through its representative. Only the members
+outside a filter's largest core are compared, in blocks that meet blocks of all
+members, so the rows moved grow with the members and with the outside ones, not with
+the square of the group.
 
 Vectors that are null, empty, zero or hold a null or non-finite component, and
 those without a label, link with nothing; so do vectors of different lengths.
-Rows that repeat an id are one vector if they are equal. A row with a null id
-links with nothing, has a null component and is kept. The recall for pairs at
+Rows that repeat an id with one label are one vector if they are equal; an id on
+several vectors or labels is a vector in each, with links and a component of its own.
+A row with a null id links with nothing, has a null component and is kept. The recall for pairs at
 the threshold is about 0.999 (tests hold it against brute force).
 """
 
@@ -34,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import map_columns, prepare_workers, stored, table
-from .components import connected_components
+from .components import COMPONENT_SQL, connected_components
 
 COSINE = 0.98
 #: Filters that a vector is in, on average.
@@ -120,14 +127,24 @@ def _doubles(rows: list[bytes], size: int) -> np.ndarray:
     return x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norms
 
 
-def compare(ids, mult, rows, filters, side, number: int, cosine: float, size: int) -> list[tuple]:
-    """Links of one filter (or pair of its blocks): ``(id, links, smallest id of its local component)``."""
+#: What a row does in its group: is compared with those that ask, asks, or both (in a group of one block).
+ASKED, ASKS, BOTH = 0, 1, 2
+
+
+def compare(ids, mult, rows, filters, role, core, outside, number: int, cosine: float, size: int) -> list[tuple]:
+    """Links of one filter (or pair of its blocks): ``(id, links, smallest id of its local component)``.
+
+    Pairs within one core are left out, they are known.
+    """
     v = _doubles(rows, size)
     norm = np.sqrt(np.einsum("ij,ij->i", v, v))
     near = v @ v.T >= cosine * norm[:, None] * norm[None, :]
-    np.fill_diagonal(near, False)
-    if side.min() != side.max():  # two blocks: only pairs across
-        near &= side[:, None] != side[None, :]
+    near &= (core[:, None] != core) | (core < 0)
+    if (role == BOTH).all():
+        np.fill_diagonal(near, False)
+    else:  # two outside members once, and none with itself
+        near &= (role == ASKS)[:, None] & (role == ASKED) & ((outside & (ids[:, None] < ids)) | ~outside)
+        near |= near.T
     if not near.any():
         return []
     some = np.flatnonzero(near.any(axis=1))
@@ -163,8 +180,9 @@ def _compare_groups(cosine: float, size: int):
         def done():
             if len(rows) < 2:
                 return []
-            ids, mult, v, filters, side = zip(*rows, strict=True)
-            return compare(np.array(ids), np.array(mult), list(v), [np.array(f) for f in filters], np.array(side), group[2], cosine, size)
+            ids, mult, v, filters, role, core, outside = zip(*rows, strict=True)
+            same = [np.array(x) for x in (role, core, outside)]
+            return compare(np.array(ids), np.array(mult), list(v), [np.array(f) for f in filters], *same, group[2], cosine, size)
 
         def batch(found):
             cols = list(zip(*found, strict=True)) or [[], [], []]
@@ -178,7 +196,7 @@ def _compare_groups(cosine: float, size: int):
                 if key != group:
                     found += done()
                     group, rows = key, []
-                rows.append((c[5][k], c[6][k], c[7][k], c[8][k], c[9][k]))
+                rows.append(tuple(c[i][k] for i in range(5, 12)))
             if len(found) > 10_000:
                 yield batch(found)
                 found = []
@@ -187,6 +205,38 @@ def _compare_groups(cosine: float, size: int):
     return run
 
 
+def cores(members: DataFrame, cosine: float, size: int) -> DataFrame:
+    """``id, core`` of the vectors that are so near a representative of their filter that all of them are linked.
+
+    ``members`` are the rows ``label, dim, filter, blocks, side, id, v`` of large filters; a
+    filter's representative is its member with the smallest id.
+    """
+    # cos(2 t) = 2 cos(t)**2 - 1; the margin is far above the rounding of doubles.
+    least = np.sqrt((1 + cosine) / 2) + 1e-5
+    group = ["label", "dim", "filter"]
+    first = members.groupBy(*group).agg(F.min(F.struct("id", "v")).alias("r"), F.any_value("blocks").alias("blocks"))
+    # The representative goes to every block, so that no task gets a whole filter.
+    first = first.select(*group, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("side"), F.col("r.id").alias("core"), F.col("r.v").alias("rv"))
+
+    def make():
+        def call(ids, core, v, rv):
+            near = [False] * len(ids)
+            dims = np.array([len(x) for x in v])
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                x, y = _doubles([v[k] for k in at], size), _doubles([rv[k] for k in at], size)
+                x, y = (z / np.linalg.norm(z, axis=1, keepdims=True) for z in (x, y))
+                for k, c in zip(at, np.einsum("ij,ij->i", x, y), strict=True):
+                    near[k] = bool(c >= least)
+            return [ids, core, near]
+
+        return call
+
+    both = members.select(*group, "side", "id", "v").join(first, [*group, "side"]).select("id", "core", "v", "rv")
+    found = map_columns(both, make, "id bigint, core bigint, near boolean", 1024).where("near")
+    return found.groupBy("id").agg(F.min("core").alias("core"))
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", block: int = BLOCK
 ) -> DataFrame:
@@ -194,7 +244,10 @@ def near_vectors(
     size = 4 if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else 8
     rows = stored(parsed(vectors, id_col, vector_col, label_col), "vectors")
     classes = stored(
-        rows.where("key IS NOT NULL").groupBy("label", "key").agg(F.min("vec_id").cast("bigint").alias("id"), F.any_value("v").alias("v"), F.count_distinct("vec_id").alias("mult")),
+        rows.where("key IS NOT NULL")
+        .groupBy("label", "key")
+        .agg(F.min("vec_id").cast("bigint").alias("vec"), F.any_value("v").alias("v"), F.count_distinct("vec_id").alias("mult"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "vector-classes",
     )
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
@@ -219,17 +272,46 @@ def near_vectors(
     each = placed.select("label", "dim", F.explode("filters").alias("filter"), "id", "mult", "v", "filters")
     counts = placed.select("label", "dim", F.explode("filters").alias("filter")).groupBy(*group).count().where("count > 1")
     counts = stored(counts.select(*group, F.ceil(F.col("count") / block).cast("int").alias("blocks")), "vector-buckets")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    each = each.join(counts, group).withColumn("side", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    each = each.select(*group, F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "id", "mult", "v", "filters", "side")
+    row = [*group, "lo", "hi", "id", "mult", "v", "filters", "role", "core", "outside"]
+    core = None
+    if not counts.where("blocks > 1").isEmpty():
+        side = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), blocks).cast("int")
+        large = stored(each.drop("filters").join(counts.where("blocks > 1"), group).withColumn("side", side("blocks", 1)), "vector-large")
+        core = stored(cores(large, cosine, size), "vector-cores")
+        placed = stored(placed.join(core, "id", "left").withColumn("core", F.coalesce("core", F.lit(-1))), "vector-filters")
+        known = large.select(*group, "id", "blocks").join(placed.select("id", "core"), "id")
+        inner = known.where("core >= 0").groupBy(*group, "core").count().groupBy(*group).agg(F.max_by("core", F.struct("count", "core")).alias("inner"))
+        known = stored(known.join(inner, group, "left").withColumn("outside", ~F.col("core").eqNullSafe(F.col("inner"))).drop("inner"), "vector-known")
+        outer = known.where("outside").groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("outer_blocks"))
+        known = known.join(outer, group).join(placed.select("id", "mult", "v", "filters"), "id")
+        to = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        asks = known.where("outside").withColumn("lo", side("outer_blocks", 2)).withColumn("hi", to("blocks")).withColumn("role", F.lit(ASKS))
+        asked = known.withColumn("hi", side("blocks", 1)).withColumn("lo", to("outer_blocks")).withColumn("role", F.lit(ASKED))
+        more = asks.select(*row).union(asked.select(*row))
+    else:
+        placed = placed.withColumn("core", F.lit(-1).cast("bigint"))
+    # Within small filters too, pairs of one core are known.
+    each = placed.select("label", "dim", F.explode("filters").alias("filter"), "id", "mult", "v", "filters", "core")
+    fixed = {"lo": 0, "hi": 0, "role": BOTH, "outside": True}
+    parts = each.join(counts.where("blocks = 1"), group).withColumns({k: F.lit(v) for k, v in fixed.items()}).select(*row)
+    if core is not None:
+        parts = parts.union(more)
     keys = [*group, "lo", "hi"]
     prepare_workers(vectors.sparkSession)
-    links = stored(each.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_groups(cosine, size), _LINKS), "vector-links")
+    links = parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_groups(cosine, size), _LINKS)
+    if core is not None:
+        # The links inside cores, by size.
+        own = core.join(classes.select("id", "mult"), "id")
+        total = own.groupBy("core").agg(F.sum("mult").alias("total"))
+        links = links.union(own.join(total, "core").select("id", F.col("total") - F.col("mult"), "core"))
+    links = stored(links, "vector-links")
 
     found = connected_components(links.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
-    linked = links.groupBy("id").agg(F.sum("links").alias("links")).join(found, "id", "left")
-    linked = classes.select("label", "key", "id", "mult").join(linked, "id", "left").select(
-        "label", "key", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n"), F.coalesce("component", "id").alias("component")
+    own = classes.select("label", "key", "id", "vec", "mult").join(found, "id", "left").withColumn("number", F.coalesce("component", "id"))
+    least = own.groupBy("number").agg(F.min("vec").alias("least"))
+    counted = links.groupBy("id").agg(F.sum("links").alias("links"))
+    linked = own.join(least, "number").join(counted, "id", "left").select(
+        "label", "key", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n"), F.col("least").alias("component")
     )
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return rows.select("vec_id", "label", "key").join(linked, ["label", "key"], "left").select(
@@ -239,3 +321,18 @@ def near_vectors(
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+    AND list_bool_or([x <> 0 FOR x IN embedding])),
+link AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= {COSINE}),
+node AS (SELECT vec_id AS id FROM embeddings),{COMPONENT_SQL},
+degree AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, id = least AS kept
+FROM component LEFT JOIN degree ON a = id
+"""
