@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_columns, table, texts
+from .common import WORD, map_columns, table, texts
 
 #: Window length in words -> largest share of word characters inside duplicated windows. Below the base rule's 20 % of
 #: words, which rejects by itself whatever a higher limit would.
@@ -165,3 +165,39 @@ def quality_rules(
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def _window_sql() -> tuple[str, str, str, str, str]:
+    """For each window length: its windows, marks of duplicated ones, words covered, their sums, and shares within the limits."""
+    lengths = sorted({BASE_WINDOW, *LIMITS})
+    marks = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g{n}) > 1 AS d{n}" for n in lengths)
+    grams = ", ".join(f"unnest([array_to_string(ws[i:i + {n - 1}], ' ') FOR i IN range(1, len(ws) - {n - 2})]) AS g{n}" for n in lengths)
+    inside = ", ".join(f"max(d{n}::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}" for n in lengths)
+    sums = ", ".join(f"sum(c{n})::BIGINT AS w{n}, sum(c{n} * length(word))::BIGINT AS x{n}" for n in lengths)
+    return grams, marks, inside, sums, " AND ".join(f"dup_{n}gram_chars <= {most}" for n, most in sorted(LIMITS.items()))
+
+
+_GRAMS, _MARKS, _INSIDE, _SUMS, _WITHIN = _window_sql()
+
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '{WORD}'), []) AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word, {_GRAMS} FROM d),
+m AS (SELECT doc_id, i, word, {_MARKS} FROM p),
+c AS (SELECT doc_id, word, {_INSIDE} FROM m),
+s AS (SELECT doc_id, sum(length(word))::BIGINT AS word_chars, {_SUMS} FROM c GROUP BY doc_id),
+l AS (SELECT doc_id, line, count(*) AS k, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars
+    FROM d, unnest(string_split(t, chr(10))) AS u(line) GROUP BY ALL),
+r AS (SELECT doc_id, sum(k - 1)::BIGINT AS n_dup_lines, sum(k * chars) AS line_chars FROM l WHERE k > 1 AND chars > 0 GROUP BY doc_id),
+a AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(word_chars, 0) AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(w{BASE_WINDOW}, 0) AS n_repeat_words, greatest(coalesce(word_chars, 0), 1) AS total,
+    {", ".join(f"(coalesce(x{n}, 0) / total)::DOUBLE AS dup_{n}gram_chars" for n in sorted(LIMITS))},
+    (coalesce(line_chars, 0) / total)::DOUBLE AS dup_line_chars
+  FROM d LEFT JOIN s USING (doc_id) LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND {_WITHIN} AND dup_line_chars <= {LINE_LIMIT} AS kept,
+  {", ".join(f"dup_{n}gram_chars" for n in sorted(LIMITS))}, dup_line_chars
+FROM a
+"""

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op12_byte_bpe
-from .embedding_dedup import op7_embedding_dedup
-from .minhash_dedup import op10_minhash
+from .embedding_dedup import OP7_SQL, op7_embedding_dedup
+from .minhash_dedup import OP10_SQL, op10_minhash
 from .mixing import OP1_SQL, op1_mixing
 from .periodic_runs import op11_periodic_runs
-from .quality_rules import op8_quality_rules
+from .quality_rules import OP8_SQL, op8_quality_rules
 from .secret_scan import op5_secret_scan
 from .sentencepiece_codec import op9_sentencepiece
 from .suffix_dedup import op6_suffix_dedup
@@ -43,4 +43,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op3_url_filter": OP3_SQL}
+    return {
+        "op1_mixing": OP1_SQL,
+        "op3_url_filter": OP3_SQL,
+        "op7_embedding_dedup": OP7_SQL,
+        "op8_quality_rules": OP8_SQL,
+        "op10_minhash": OP10_SQL,
+    }
