@@ -2,8 +2,9 @@
 
 A count depends on the text and the tokenizer only, so it is stored under the
 SHA-256 of the normalised text together with the digest of the tokenizer file.
-Counting joins the texts' digests to the stored counts, encodes each distinct
-missing text once and appends the new counts to the cache. Normalisation here
+Counting joins the texts' digests to the stored counts, then fetches and encodes each
+distinct missing text once and appends the new counts to the cache. With no misses no text
+moves, with few of them only theirs. Normalisation here
 only maps null to the empty text: any other change could change the count.
 
 Empty and null texts count as 0 tokens. Repeated rows and equal texts share one
@@ -21,9 +22,12 @@ from pyspark.sql import functions as F
 
 from funnel_engine.session import checkpoint_dir
 
-from .common import map_columns, shuffles_freed, table, texts
+from .common import map_columns, shuffles_freed, stored, table, texts
 from .sentencepiece_codec import model_path
 
+#: So many missing digests of 32 bytes are broadcast, so that only their texts move; of more, all texts do.
+FEW_MISSES = 50_000
+
 CACHE_SCHEMA = "text_digest binary, tokenizer string, n_tokens bigint"
 
 
@@ -71,10 +75,20 @@ def append_misses(docs: DataFrame, cache_dir: str, path: str, tokenizer: str, te
 
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # any_value keeps one copy of a text per map task before the shuffle, so copies of one text never meet in number.
     found = docs.select(text_digest(text).alias("text_digest"), text.alias("text"))
+    # Digests first: texts that the cache has are never moved.
     cached = read_cache(spark, cache_dir, tokenizer).select("text_digest")
-    missing = found.groupBy("text_digest").agg(F.any_value("text").alias("text")).join(cached, "text_digest", "left_anti")
+    misses = stored(found.select("text_digest").distinct().join(cached, "text_digest", "left_anti"), "token-count-misses")
+    n = misses.count()
+    if not n:
+        return
+    few = n <= FEW_MISSES
+    if few:
+        found = found.join(F.broadcast(misses), "text_digest", "left_semi")
+    # any_value keeps one copy of a text per map task before the shuffle, so copies of one text never meet in number.
+    missing = found.groupBy("text_digest").agg(F.any_value("text").alias("text"))
+    if not few:
+        missing = missing.join(misses, "text_digest", "left_semi")
     with shuffles_freed(spark):
         map_columns(missing, make, CACHE_SCHEMA, 64).write.mode("append").parquet(cache_dir)
 
