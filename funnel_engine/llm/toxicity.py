@@ -166,7 +166,7 @@ def train(
     usable = labels.where(~held_out(F.col("doc_id")))
     if prior is None:
         share = usable.where("toxic IN (0, 1)").agg(F.avg("toxic")).first()[0]
-        prior = min(0.5, max(0.005, share)) if share is not None and share < 1 else PRIOR
+        prior = share if share is not None and 0 < share < 1 else PRIOR
 
     def make():
         return lambda kind, bodies: [kind, [features(t).astype(np.int32).tobytes() for t in bodies]]
