@@ -131,6 +131,30 @@ def test_mix_against_brute_force(spark):
     assert mix(df.limit(0), document_levels(), n_words(F.col("text"))).count() == 0
 
 
+def test_very_many_siblings(spark):
+    """100,000 sources of one language: the shares are those of a list of all, which no task sees."""
+    from funnel_engine.llm.mixing import RANGES, share_out
+
+    rng = random.Random(9)
+    rows = [("en", f"s{i}", rng.choice([0, 7, 7, rng.randint(1, 50_000)]), rng.choice([1, 1, 2, 5]), 900_000_000) for i in range(100_000)]
+    rows += [("de", f"s{i}", 100, 1, 4_321) for i in range(50)] + [("fr", "a", 5, 1, 100), ("fr", "b", 0, 3, 100), ("it", "a", 0, 1, 0)]
+    nodes = spark.createDataFrame(rows, "lang string, name string, capacity bigint, weight bigint, budget bigint")
+    got = share_out(nodes, ["lang"])
+    assert got.columns == [*nodes.columns, "given"]
+    given = {(r.lang, r.name): r.given for r in got.collect()}
+    for lang in ("en", "de", "fr", "it"):
+        own = [r for r in rows if r[0] == lang]
+        want = water_fill(own[0][4], {r[1]: (r[3], r[2]) for r in own})
+        assert {n: given[lang, n] for _, n, *_ in own} == want
+    # The windows read sums of ranges and the one range where the level ends; that one is small.
+    ratios = sorted({c / w for lang, n, c, w, _ in rows if lang == "en" and given[lang, n] == c and c})
+    level = np.floor(np.log2(ratios[-1]) * RANGES)
+    assert sum(np.floor(np.log2(c / w) * RANGES) == level for lang, _, c, w, _ in rows if lang == "en" and c) < 1000
+    # Without parents there is one family.
+    alone = share_out(nodes.where("lang = 'de'").drop("lang"), [])
+    assert {r.given for r in alone.collect()} == {86}
+
+
 def test_shortage_stays_below_its_parent(spark):
     """A short source's tokens go to its sibling, and not to another language."""
     rows = [(1, "w " * 10, "en", "src0", 0), (2, "w " * 1000, "en", "src1", 0), (3, "w " * 1000, "de", "src2", 0)]
@@ -299,6 +323,49 @@ def test_one_id_on_several_texts(spark):
     assert sorted(map(tuple, drop_near_duplicates(df, 3, 85).collect())) == sorted([*rows[:8], (20, text(30)), (30, text(31))])
 
 
+def test_rows_of_a_mixed_bucket_grow_with_its_members(spark, monkeypatch):
+    """Thousands of near copies and a few members that link with the first only through others."""
+    from funnel_engine.llm import minhash_dedup
+
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base, f"t{i}"])) for i in range(3000)]
+    for i in range(12):  # near some copies of this kind, not near the first
+        w = list(base)
+        for k in rng.sample(range(100), 3):
+            w[k] = f"x{i}{k}"
+        rows.append((5000 + i, " ".join([*w, f"u{i}"])))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sizes = {}
+    real = minhash_dedup._compare_buckets
+
+    def counted(percent):
+        inner = real(percent)
+
+        def run(batches):
+            def seen():
+                for b in batches:
+                    total.add(b.num_rows)
+                    yield b
+
+            yield from inner(seen())
+
+        return run
+
+    for block in (512, 64):
+        total = spark.sparkContext.accumulator(0)
+        monkeypatch.setattr(minhash_dedup, "_compare_buckets", counted)
+        got = {r.doc_id: r.component_id for r in near_duplicates(df, 3, 85, block=block).collect()}
+        sizes[block] = total.value
+        assert all(got[i] == 0 for i in range(3000))
+    # 25 bands: each member goes to the few blocks of outside members, not to all blocks of its bucket.
+    assert sizes[64] < 25 * 2 * 3100, sizes
+    some = [r for r in rows if r[0] < 60 or r[0] >= 5000]
+    sets = shingle_sets(some, 3)
+    want = smallest(sets, similar(sets, 85))
+    assert all((got[i] == 0) == (want[i] == 0) for i in sets)
+
+
 def test_estimate_is_close_to_the_similarity(spark):
     rng = np.random.RandomState(2)
     for share in (0.5, 0.85):
@@ -398,6 +465,40 @@ def test_odd_vectors(spark):
     assert emb.near_vectors(df.limit(0)).count() == 0
 
 
+def test_one_id_on_several_vectors_and_labels(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, x, 1), (2, x, 1), (1, y, 2), (3, y, 2), (4, y, 2), (1, y, 1), (5, [0.0, 1.0, 0.01], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = collections.Counter(tuple(r) for r in emb.near_vectors(df).collect())
+    assert got == collections.Counter(
+        [(1, 1, 1, True), (2, 1, 1, False), (1, 2, 1, True), (3, 2, 1, False), (4, 2, 1, False), (1, 1, 1, True), (5, 1, 1, False)]
+    )
+
+
+def test_large_tight_group_grows_with_its_members(spark):
+    """A core of near copies, a rim around it and strangers: links and components as by brute force, rows in proportion."""
+    rng = np.random.RandomState(5)
+    centre = rng.standard_normal(32)
+    centre /= np.linalg.norm(centre)
+
+    def at(cosine, n):
+        d = rng.standard_normal((n, 32))
+        d -= (d @ centre)[:, None] * centre
+        d /= np.linalg.norm(d, axis=1, keepdims=True)
+        return list(cosine * centre + np.sqrt(1 - cosine**2) * d)
+
+    vectors = at(0.9995, 500) + at(0.989, 60) + list(rng.standard_normal((40, 32)))
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, rows[i][1], 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    count, component = brute_vectors(rows)
+    for block in (512, 40):
+        got = emb.near_vectors(df, block=block).collect()
+        assert all(r.n_links <= count[r.vec_id] for r in got)
+        assert sum(r.n_links for r in got) > 0.995 * sum(count.values())
+        assert all(component[r.vec_id] == r.component_id for r in got)
+
+
 # -- repeated strings -----------------------------------------------------
 
 
@@ -482,6 +583,19 @@ def test_repeats_odd_rows(spark, monkeypatch):
     assert windows == list(range(5000 - 50 + 1))  # every window has one anchor, also across pieces
 
 
+def test_prior_is_the_share_of_toxic_labels(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tox, "fit", lambda p, u, prior: seen.append(prior) or tox.Model({}, 0.0))
+    rows = [(i, f"text {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for toxic in (0.75, 0.004):
+        n = round(toxic * len(free))
+        labels = spark.createDataFrame([(d, int(k < n)) for k, d in enumerate(free)], "doc_id bigint, toxic int")
+        tox.train(docs, labels)
+        assert seen[-1] == pytest.approx(n / len(free))
+
+
 # -- pipeline -------------------------------------------------------------
 
 
@@ -519,9 +633,11 @@ def test_pipeline_on_odd_and_empty_tables(spark, scratch_dir):
     rows = [(1, None, None, None, None), (2, "", "en", "src1", 0), (3, "a b c", "en", "src1", 5), (3, "a b c", "en", "src1", 5), (4, "token=abcdef0123456789 z", None, "src2", 24)]
     labels = spark.createDataFrame([(3, 1, 0)], "doc_id bigint, quality int, toxic int")
     labels.write.parquet(f"{scratch_dir}/labels.parquet")
-    spark.createDataFrame(rows, DOCS).withColumn("component", F.lit(1)).write.parquet(f"{scratch_dir}/documents.parquet")
+    rows += [(5, "word " * 100_000 + "end", "en", "src3", 500_003), (3, "another text under one id", "en", "src1", 25)]
+    clashing = ["component", "_text", "_gone", "row", "text_digest", "_doc", "_leaf", "_tokens", "positive", "score"]
+    spark.createDataFrame(rows, DOCS).select("*", *[F.lit(1).alias(c) for c in clashing]).write.parquet(f"{scratch_dir}/documents.parquet")
     got = corpus_pipeline.run(spark, scratch_dir).collect()
-    assert {r.doc_id for r in got} <= {3, 4}
+    assert {r.doc_id for r in got} <= {3, 4, 5}
     empty = f"{scratch_dir}/empty"
     labels.limit(0).write.parquet(f"{empty}/labels.parquet")
     spark.createDataFrame([], DOCS).write.parquet(f"{empty}/documents.parquet")

@@ -49,7 +49,7 @@ def texts_of(spark):
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     df = llm.queries()[name](spark, SMOKE)
     cols = sorted(df.columns)
@@ -77,6 +77,61 @@ def test_odd_rows_and_empty_tables(spark, operator):
     assert run(df.limit(0)).count() == 0
 
 
+def _planted(rng, formats, n):
+    """Texts with ``n`` credentials of each format, some named and some bare, among clean runs; and the bare ones' values."""
+    hexa, alnum = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = {
+        "prefixed": lambda: "ghx_" + "".join(rng.choices(alnum, k=30)),
+        "dashed": lambda: "sk-live-" + "".join(rng.choices(hexa, k=20)),
+        "grouped": lambda: "-".join("".join(rng.choices(hexa[:10] + "ABCDEF", k=5)) for _ in range(4)),
+    }
+    clean = [
+        lambda: "".join(rng.choices("0123456789", k=16)),  # card numbers
+        lambda: f"chapter-{rng.randint(1, 99)}-of-the-long-book",
+        lambda: f"/srv/data/part-{rng.randint(0, 99999):05d}/file_{rng.randint(0, 9)}",
+        lambda: f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}T{rng.randint(0, 23):02d}-00-00",
+    ]
+    bodies, bare = [], set()
+    for name in formats:
+        for k in range(n):
+            v = make[name]()
+            if k % 2:
+                bodies.append(f"before token = {v} after")
+            else:
+                bodies.append(f"before {v} after")
+                bare.add(v)
+    for _ in range(6 * n):
+        bodies.append(f"see {rng.choice(clean)()} there")
+    rng.shuffle(bodies)
+    return bodies, bare
+
+
+def test_planted_formats_without_a_name(spark):
+    """Credentials that no fixed pattern finds are found by the formats learnt from named ones; clean runs are not."""
+    bodies, bare = _planted(random.Random(12), ["prefixed", "dashed", "grouped"], 60)
+    df = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string")
+    formats = infer_formats(labelled_values(df))
+    assert len(formats.known) >= 3
+    found = {bodies[r.doc_id][int(s) : int(e)] for r in secret_spans(df).collect() for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "format"}
+    hit = len(found & bare)
+    print(f"planted formats: precision {hit / len(found):.3f}, recall {hit / len(bare):.3f}")
+    assert hit >= 0.95 * len(bare) and hit >= 0.95 * len(found)
+    masked_texts = " ".join(r.text for r in redact(df).collect())
+    assert sum(v in masked_texts for v in bare) <= 0.05 * len(bare)
+
+
+def test_candidate_rule_is_an_argument(spark):
+    rng = random.Random(13)
+    short = lambda: "q_" + "".join(rng.choices("bcdfghjklmnpqrst", k=10))
+    bodies = [f"token={short()}" for _ in range(40)] + [f"here {short()} too" for _ in range(20)] + ["plain words in a line " * 3] * 20
+    df = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string")
+    assert sum(r.n_format for r in secret_spans(df).collect()) == 0
+    rule = {"least_chars": 12, "digit": False}
+    formats = infer_formats(labelled_values(df, **rule), **rule)
+    got = secret_spans(df, formats).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.doc_id) if r.n_format] == list(range(40, 60))
+
+
 # -- URL filter -----------------------------------------------------------
 
 
