@@ -38,6 +38,26 @@ PANEL_SOURCES = [
 ]
 
 
+def kpi_strip_text(strip: DataFrame) -> DataFrame:
+    """The KPI strip as shown: thousands separators, currency without decimals, one-decimal percent."""
+    return strip.select(
+        F.format_number("sessions", 0).alias("sessions"),
+        F.format_number("orders", 0).alias("orders"),
+        currency_text("revenue").alias("revenue"),
+        pct_text("visit_to_order_rate", 1).alias("visit_to_order"),
+        currency_text("aov").alias("aov"),
+    )
+
+
+def _rates(horizons: Sequence[int]) -> list[str]:
+    return ["first_to_second_order_rate", *[f"d{h}_retention" for h in horizons], "high_churn_risk_rate"]
+
+
+def retention_text(retention: DataFrame, horizons: Sequence[int] = RETENTION_HORIZONS) -> DataFrame:
+    """The retention tiles as shown: one-decimal percent."""
+    return retention.select(*[pct_text(c, 1).alias(c) for c in _rates(horizons)])
+
+
 def panels(
     outputs: dict[str, DataFrame],
     months: Sequence[str] | None = None,
@@ -54,20 +74,13 @@ def panels(
     require_rows(select_months(monthly, months), "Select at least one month.")
     strip = kpi_strip(monthly, months)
     retention = outputs["retention_summary"]
-    rates = ["first_to_second_order_rate", *[f"d{h}_retention" for h in horizons], "high_churn_risk_rate"]
     return {
         "kpi_strip": strip,
-        "kpi_strip_text": strip.select(
-            F.format_number("sessions", 0).alias("sessions"),
-            F.format_number("orders", 0).alias("orders"),
-            currency_text("revenue").alias("revenue"),
-            pct_text("visit_to_order_rate", 1).alias("visit_to_order"),
-            currency_text("aov").alias("aov"),
-        ),
+        "kpi_strip_text": kpi_strip_text(strip),
         "funnel": outputs["funnel_summary"].select("stage_order", "stage", "sessions", "conversion_from_visit"),
         "monthly_long": monthly_long(monthly, months),
-        "retention": retention.select(*rates),
-        "retention_text": retention.select(*[pct_text(c, 1).alias(c) for c in rates]),
+        "retention": retention.select(*_rates(horizons)),
+        "retention_text": retention_text(retention, horizons),
         "campaign_scatter": campaign_scatter(outputs["campaign_performance"]),
         "wallet_share": wallet_view(outputs["segment_wallet_share"], dimension),
         "churn_bands": churn_bands(outputs["customer_retention_churn"]),

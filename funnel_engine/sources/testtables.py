@@ -131,6 +131,11 @@ def dirty_from_sessions(sessions_df: DataFrame) -> DataFrame:
     return sessions_df.select(*[c.alias(n) for n, c in cols.items()])
 
 
+def quoted_from_sessions(sessions_df: DataFrame) -> DataFrame:
+    """The dirty text table with separators and quotes inside channels, as a CSV export quotes them."""
+    return dirty_from_sessions(sessions_df).withColumn("channel", F.concat("channel", F.lit(', "'), "device", F.lit('"')))
+
+
 def gaps_from_sessions(sessions_df: DataFrame) -> DataFrame:
     """The session table with missing ids and dimensions, row by row."""
     key = F.col("session_id")
