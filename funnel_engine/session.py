@@ -50,6 +50,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written table when the driver ends."""
+    p, fs = _located(spark, path)
+    fs.deleteOnExit(p)
+
+
 def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """``name, length, modification time`` of a written table's data files, by name; none if it does not exist."""
     p, fs = _located(spark, path)
