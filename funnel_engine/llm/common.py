@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from funnel_engine.session import checkpoint_dir, delete_path
+from funnel_engine.session import checkpoint_dir, delete_at_exit, delete_path
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -57,13 +57,16 @@ def collected(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet into the shared checkpoint folder and read back.
 
-    Cuts the lineage with a table that survives the loss of an executor.
+    Cuts the lineage with a table that survives the loss of an executor. The table
+    goes with the surrounding ``collected``, else when the driver ends.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     if (written := _WRITTEN.get()) is not None:
         written.append(path)
     with shuffles_freed(df.sparkSession):
         df.write.parquet(path)
+    if written is None:
+        delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

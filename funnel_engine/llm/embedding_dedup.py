@@ -24,7 +24,8 @@ Vectors that are null, empty, zero or hold a null or non-finite component, and
 those without a label, link with nothing; so do vectors of different lengths.
 Rows that repeat an id with one label are one vector if they are equal; an id on
 several vectors or labels is a vector in each, with links and a component of its own.
-A row with a null id links with nothing, has a null component and is kept. The recall for pairs at
+A row with a null id links with nothing, has a null component and is kept. A cosine of exactly the threshold
+links. An empty table gives no rows; only the named columns are read. The recall for pairs at
 the threshold is about 0.999 (tests hold it against brute force).
 """
 

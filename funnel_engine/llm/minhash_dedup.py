@@ -25,6 +25,8 @@ bands of 5 miss one at 0.85 with probability 7e-7, one at 0.8 with 5e-5.
 Ids must be integers. Null and empty texts have no shingles, link with nothing and are kept; a row
 without an id links with nothing, keeps a null component and is kept. Rows that
 repeat an id with one text stay or go together; those with other texts are judged by themselves.
+A similarity of exactly the threshold links. Very long texts are shingled whole; an empty table
+gives no rows. Other columns are passed on by ``drop_near_duplicates`` and never clash.
 """
 
 from __future__ import annotations

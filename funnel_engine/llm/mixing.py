@@ -12,9 +12,10 @@ epoch and document id. All arithmetic is on integers; shares are rounded down.
 
 A document belongs to the prefix if its first token does; ``taken`` says how many
 of its tokens do. Rows with one id in one leaf stand at the same place of the
-order and go together. Documents without tokens are never taken. Null level
-values are the node ``(none)``; a null id counts as an empty one. An empty
-table gives an empty mix.
+order and go together. Documents without tokens are never taken; very long ones count
+with all their tokens. Null level values are the node ``(none)``; a null id counts as an
+empty one. Siblings with equal capacity per weight fill up together. An empty table gives
+an empty mix.
 """
 
 from __future__ import annotations

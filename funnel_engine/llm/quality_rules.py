@@ -8,7 +8,9 @@ characters) that they cover. The same is done for lines.
 A text fails the method's rules when the characters inside duplicated windows
 of ``n`` words, or inside lines that occur twice or more, exceed a share of all
 its word characters (``LIMITS``). Null texts count as empty: no words, all
-counts 0, ``base_failed`` true. Rows are independent of each other.
+counts 0, ``base_failed`` true. Shares equal to a limit pass. Rows are independent of each
+other, so repeated rows are judged alike; very long texts are measured whole and an empty
+table gives no rows. Only the named columns are read, so further columns may have any name.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ follows something else, around line ends, between a letter and punctuation after
 a word), and each distinct segment of a task is encoded once.
 
 Null and empty texts give no ids and an empty decoded text. Rows are
-independent: repeated rows, ties and null ids come back as they are.
+independent: repeated rows, ties and null ids come back as they are. Very long texts are
+encoded whole; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ moves, with few of them only theirs. Normalisation here
 only maps null to the empty text: any other change could change the count.
 
 Empty and null texts count as 0 tokens. Repeated rows and equal texts share one
-cache entry; each input row gives one output row. An empty table gives an empty
-result and leaves the cache as it was.
+cache entry; each input row gives one output row. Very long texts are encoded whole. An
+empty table gives an empty result and leaves the cache as it was. Only the id and text
+columns are read, so further columns may have any name.
 """
 
 from __future__ import annotations

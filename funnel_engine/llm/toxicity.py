@@ -15,7 +15,9 @@ texts whole. Its inputs are the words alone: no id, label, language or source.
 Null and empty texts have no words and get the score of the bias. Labels that
 are null or missing confirm nothing; an id with several labels is confirmed by
 any of them. Without a confirmed text every score is 0. Repeated rows are scored alike;
-where several texts share an id, the one with the smallest digest is learnt from.
+where several texts share an id, the one with the smallest digest is learnt from. A score
+of exactly the threshold predicts 1. Very long texts are scored whole; an empty table gives
+no rows. Only the named columns are read; ``drop_toxic`` passes all others as they are.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ Named rules (``rule`` not null) beat patterns, the longest one first; an
 allowing pattern beats a blocking one; a URL that nothing matches is allowed.
 
 Null URLs and URLs without ``://`` have an empty host and path. Each input row
-gives one output row, repeated rows and null ids included.
+gives one output row, repeated rows and null ids included. Rules of one length that fit
+one URL are one rule. URLs of any length are judged whole; an empty table gives no rows.
+Only the named columns are read, so further columns may have any name.
 """
 
 from __future__ import annotations
