@@ -13,7 +13,11 @@ again as the next one's ``docs``. All stages but the last return the columns of
 5. ``encode`` returns ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
 Null and empty texts are not toxic, have no duplicates and no secrets; the mix
-takes no document without words.
+takes no document without words. Very long texts go through whole. Rows that repeat id
+and text stay or go together in every stage; where one id has several texts, each is
+judged by itself. Ties are settled as the operators say (a score of the threshold is
+toxic, a similarity of the threshold a duplicate). Columns beyond those of ``documents``
+pass the first four stages, whatever their names. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from funnel_engine.llm.mixing import document_levels, mix, n_words
 from funnel_engine.llm.secret_scan import redact
 from funnel_engine.llm.sentencepiece_codec import encoding_digests
 from funnel_engine.llm.toxicity import drop_toxic, train
-from funnel_engine.session import checkpoint_dir
+from funnel_engine.session import checkpoint_dir, delete_at_exit, delete_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +70,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
         with collected(spark):
@@ -74,4 +78,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             with shuffles_freed(spark):
                 out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if before is not None:  # nothing reads the stage before any more
+            delete_path(spark, before)
+        before = path
+    delete_at_exit(spark, before)
     return docs
