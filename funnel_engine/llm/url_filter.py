@@ -2,7 +2,8 @@
 
 Rules are patterns in the usual filter-list syntax over ``host + path``:
 ``||`` anchors at the host or any parent domain of it, ``|`` at the start, ``*``
-matches anything, ``^`` a separator or the end; all else is literal. A rule's
+matches anything, ``^`` a separator or the end; all else is literal, in upper or lower
+case (A-Z) but for the named rules, whose paths are taken as written. A rule's
 complete literal tokens are its runs of letters and digits that cannot continue
 in a matching URL. Each rule is filed under the one of them that is rarest in
 all URLs. The tokens of a URL fetch its candidate rules through that index, and
@@ -49,17 +50,21 @@ PATTERNS = [("block", p) for listed in BLOCKED.values() for p in listed] + [("al
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _lowered(text: Column | str) -> Column:
+    return F.translate(text, _UPPER, _LOWER)
+
+
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path."""
     at = F.locate("://", url)
     rest = F.when(at > 0, F.expr("substring(url, locate('://', url) + 3)")).otherwise("")
-    host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), _UPPER, _LOWER)
+    host = _lowered(F.regexp_extract(rest, r"^([^/?#]*)", 1))
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def tokens(text: Column) -> Column:
-    """Distinct runs of ASCII letters and digits; the empty token is always there."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(text, "[^A-Za-z0-9]+")))
+    """Distinct runs of ASCII letters and digits, in lower case; the empty token is always there."""
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(_lowered(text), "[^a-z0-9]+")))
 
 
 def default_rules(spark: SparkSession) -> DataFrame:
@@ -70,7 +75,7 @@ def default_rules(spark: SparkSession) -> DataFrame:
 
 def compiled(rules: DataFrame) -> DataFrame:
     """``rules`` with their regular expression and complete literal tokens."""
-    p = F.col("pattern")
+    p = F.when(F.col("rule").isNull(), _lowered("pattern")).otherwise(F.col("pattern"))
     body = F.regexp_replace(p, r"^\|{1,2}", "")
     quoted = F.regexp_replace(body, r"([.+?{}()\[\]$\\|])", r"\\$1")
     quoted = F.replace(F.replace(quoted, F.lit("^"), F.lit("(?:[^A-Za-z0-9_.%-]|$)")), F.lit("*"), F.lit(r"[\s\S]*"))
@@ -106,7 +111,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None, id_col: str =
     fits = (
         urls.select("key", F.explode(tokens(F.col("key"))).alias("token"))
         .join(index, "token")
-        .where(F.regexp_like("key", F.col("regex")))
+        .where(F.regexp_like(F.when(F.col("rule").isNull(), _lowered("key")).otherwise(F.col("key")), F.col("regex")))
         .groupBy("key")
         .agg(
             F.max(F.when(F.col("rule").isNotNull(), F.struct(F.length("rule").alias("n"), "rule", "verdict"))).alias("named"),
@@ -137,7 +142,7 @@ def _like(p: str) -> str:
 
     body = re.sub(r"^\|{1,2}", "", p)
     body = "".join("[\\s\\S]*" if c == "*" else "(?:[^A-Za-z0-9_.%-]|$)" if c == "^" else re.escape(c) for c in body)
-    return f"regexp_matches(host || path, '{'^(?:[^/]*\\.)?' if p.startswith('||') else ''}{body}')"
+    return f"regexp_matches(translate(host || path, '{_UPPER}', '{_LOWER}'), '{'^(?:[^/]*\\.)?' if p.startswith('||') else ''}{body}')"
 
 
 _LONGEST = sorted(RULES, key=lambda x: -len(x[1]))

