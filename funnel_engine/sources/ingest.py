@@ -106,12 +106,15 @@ def _texts(df: DataFrame, null_tokens: Sequence[str]) -> dict[str, Column]:
 def detect_formats(raw: DataFrame, candidates: Sequence[str] = DATE_FORMATS, null_tokens: Sequence[str] = NULL_TOKENS) -> list[str]:
     """The patterns to read the dates of ``raw`` with: none if ISO reads as many as any candidate, else the one that reads most.
 
-    One aggregate over the date column counts what each reads. Candidates that read
-    equally many dates but read some date differently raise ``ValueError`` with the counts.
+    One aggregate over the date column counts what each reads of the dates that are not
+    ISO. Candidates that read equally many but some date differently raise ``ValueError``
+    with the counts.
     """
     df = normalise_headers(raw)
     text = _texts(df, null_tokens)["date"]
-    own = df.select(text.alias("t"), parse_timestamp(text).alias("iso"), *[parse_timestamp(text, [f]).alias(f"f{i}") for i, f in enumerate(candidates)])
+    iso = parse_timestamp(text)
+    others = [F.when(iso.isNull(), parse_timestamp(text, [f])).alias(f"f{i}") for i, f in enumerate(candidates)]
+    own = df.select(iso.alias("iso"), *others)
     counted = own.agg(F.count("iso").alias("iso"), *[F.count(f"f{i}").alias(f"f{i}") for i in range(len(candidates))]).first()
     best = max(counted[f"f{i}"] for i in range(len(candidates)))
     if best <= counted.iso:
