@@ -583,6 +583,23 @@ def test_repeats_odd_rows(spark, monkeypatch):
     assert windows == list(range(5000 - 50 + 1))  # every window has one anchor, also across pieces
 
 
+def test_op2_scores_against_a_refit(spark):
+    """The query's rows from a fit on plain lists: all confirmed texts, all texts that are not held out, scores summed one by one."""
+    docs = {r.doc_id: r.text or "" for r in table(spark, "documents").collect()}
+    free = lambda d: zlib.crc32(str(d).encode()) % 3 != 1
+    labels = {r.doc_id: r.toxic for r in table(spark, "labels").collect() if free(r.doc_id)}
+    share = np.mean([t for t in labels.values() if t in (0, 1)])
+    own = lambda ids: [np.array(sorted({f for w in tox.words(docs[i]) for f in tox.word_features(w)}), np.int64) for i in ids]
+    model = tox.fit(own([i for i in docs if labels.get(i) == 1]), own([i for i in docs if free(i)]), prior=share)
+    got = {r.doc_id: r for r in tox.op2_toxicity(spark, SMOKE).collect()}
+    assert set(got) == set(docs)
+    for i, t in docs.items():
+        logit = model.bias + sum(model.weights.get(int(f), 0.0) for f in tox.features(t))
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-6)
+        assert (got[i].held_out, got[i].predicted) == (not free(i), int(got[i].score >= 0.7))
+    assert len({r.predicted for r in got.values()}) == 2
+
+
 def test_prior_is_the_share_of_toxic_labels(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(tox, "fit", lambda p, u, prior: seen.append(prior) or tox.Model({}, 0.0))
