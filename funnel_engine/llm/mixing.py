@@ -40,6 +40,8 @@ SEED = 7
 #: Documents per piece of a leaf's order; a leaf has as many pieces as it needs.
 PIECE = 4096
 
+#: So many siblings are shared among in one task; of more, sums over ranges meet there.
+SIBLINGS = 10_000
 #: Ranges of capacity per weight to a doubling, in which siblings are summed up.
 RANGES = 1024
 
@@ -67,11 +69,32 @@ def _weight(level: str, weights: Mapping[str, Mapping[str, int]]) -> Column:
     return w.cast("bigint")
 
 
-def share_out(nodes: DataFrame, parents: Sequence[str]) -> DataFrame:
+def share_listed(nodes: DataFrame, parents: Sequence[str]) -> DataFrame:
     """Split ``budget`` (of each parent) among sibling rows by ``weight`` within their ``capacity``; adds ``given``.
 
     Siblings fill up in the order of capacity per weight. Those that the level
     reached so far fills get their capacity, the others share the rest by weight.
+    Each parent's children meet in one task.
+    """
+    family = Window.partitionBy(*parents)
+    before = family.orderBy(F.col("capacity").cast("double") / F.col("weight"), "name").rowsBetween(Window.unboundedPreceding, -1)
+    big = lambda c: F.col(c).cast(_BIG)
+    left = big("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0))
+    heavy = F.sum("weight").over(family) - F.coalesce(F.sum("weight").over(before), F.lit(0))
+    rest = big("budget") - F.coalesce(F.sum(F.when(F.col("full"), F.col("capacity"))).over(family), F.lit(0))
+    rest_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(family)
+    columns = nodes.columns
+    nodes = nodes.where("weight > 0").withColumn("full", big("capacity") * heavy <= big("weight") * left)
+    return _given(nodes.withColumn("rest", rest).withColumn("rest_weight", rest_weight), columns)
+
+
+def _given(nodes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    part = F.expr(f"(cast(weight as {_BIG}) * cast(rest as {_BIG})) div cast(rest_weight as {_BIG})")
+    return nodes.select(*columns, F.when(F.col("full"), F.col("capacity")).otherwise(part).cast("bigint").alias("given"))
+
+
+def share_out(nodes: DataFrame, parents: Sequence[str]) -> DataFrame:
+    """The same as ``share_listed``, for any number of siblings.
 
     The level is found from sums, not from a list of siblings: those with the same
     capacity and weight share one fate, and sums over ranges of capacity per weight
@@ -112,9 +135,7 @@ def share_out(nodes: DataFrame, parents: Sequence[str]) -> DataFrame:
         F.sum(F.when(~F.col("full"), F.col("_w"))).alias("rest_weight"),
     )
     nodes = nodes.join(fate.select(*family, "capacity", "weight", "full"), [*family, "capacity", "weight"]).join(rests, family)
-    part = F.expr(f"(cast(weight as {_BIG}) * cast(rest as {_BIG})) div cast(rest_weight as {_BIG})")
-    given = F.when(F.col("full"), F.col("capacity")).otherwise(part).cast("bigint")
-    return nodes.select(*columns, given.alias("given"))
+    return _given(nodes, columns)
 
 
 def mix_plan(
@@ -127,12 +148,16 @@ def mix_plan(
     seed: int = SEED,
     id_col: str = "doc_id",
     piece: int = PIECE,
+    siblings: int = SIBLINGS,
 ) -> DataFrame:
     """One row per leaf: its share, whole epochs, and where the prefix of the next epoch ends."""
     names = [f"_{k}" for k in levels]
     rows = stored(docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), *_named(levels), tokens.alias("_tokens")), "mix-rows")
     leaves = stored(rows.groupBy(*names).agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("docs")), "mix-leaves")
-    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    total, n_leaves = leaves.agg(F.sum("tokens"), F.count("*")).first()
+    total = total or 0
+    # No parent has more children than there are leaves.
+    few = n_leaves <= siblings
     plan = None
     for depth, level in enumerate(levels):
         parents, keys = names[:depth], names[: depth + 1]
@@ -142,7 +167,8 @@ def mix_plan(
             nodes = nodes.withColumn("budget", F.lit(min(total * percent // 100, total * max_epochs)))
         else:
             nodes = nodes.join(plan, parents)
-        plan = stored(share_out(stored(nodes, "mix-nodes"), parents).select(*keys, F.col("given").alias("budget")), "mix-shares")
+        plan = (share_listed(nodes, parents) if few else share_out(stored(nodes, "mix-nodes"), parents)).select(*keys, F.col("given").alias("budget"))
+        plan = plan if few else stored(plan, "mix-shares")
     plan = stored(
         leaves.where("tokens > 0").join(plan, names).select(
             *names, "tokens", "docs", F.col("budget").alias("share"), F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("prefix")

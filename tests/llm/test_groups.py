@@ -90,6 +90,8 @@ def test_mix_against_brute_force(spark):
     df = spark.createDataFrame(rows, DOCS).withColumn("mix_tokens", F.lit("own")).withColumn("_leaf", F.lit(1)).withColumn("_doc", F.lit(2))
     weights = {"domain": {"web": 9, "forum": 1, "reference": 3}, "lang": {"en": 1, "de": 8}}
     plan = mix_plan(df, document_levels(), n_words(F.col("text")), weights, percent=90, max_epochs=2, piece=16).collect()
+    ranged = mix_plan(df, document_levels(), n_words(F.col("text")), weights, percent=90, max_epochs=2, piece=16, siblings=1)
+    assert sorted(map(tuple, ranged.collect())) == sorted(map(tuple, plan))
     domain = lambda s: "web" if s[-1] in "0123" else "forum" if s[-1] in "456" else "reference"
     leaves = collections.Counter()
     for _, t, lang, s, _ in rows:
