@@ -118,19 +118,21 @@ def test_planted_formats_without_a_name(spark):
     # LEAST_QUANTILE gives up the least likely 5 % of a format by itself.
     assert hit >= 0.9 * len(bare) and hit >= 0.95 * len(found)
     masked_texts = " ".join(r.text for r in redact(df).collect())
-    assert sum(v in masked_texts for v in bare) <= 0.05 * len(bare)
+    assert sum(v in masked_texts for v in bare) == len(bare) - hit
 
 
 def test_candidate_rule_is_an_argument(spark):
     rng = random.Random(13)
     short = lambda: "q_" + "".join(rng.choices("bcdfghjklmnpqrst", k=10))
-    bodies = [f"token={short()}" for _ in range(40)] + [f"here {short()} too" for _ in range(20)] + ["plain words in a line " * 3] * 20
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(12, 20))) for _ in range(400)]
+    bodies = [f"token={short()}" for _ in range(40)] + [f"here {short()} too" for _ in range(20)] + [f"long {w} words" for w in words]
     df = spark.createDataFrame(list(enumerate(bodies)), "doc_id bigint, text string")
     assert sum(r.n_format for r in secret_spans(df).collect()) == 0
     rule = {"least_chars": 12, "digit": False}
     formats = infer_formats(labelled_values(df, **rule), **rule)
     got = secret_spans(df, formats).collect()
-    assert [r.doc_id for r in sorted(got, key=lambda r: r.doc_id) if r.n_format] == list(range(40, 60))
+    found = {r.doc_id for r in got if r.n_format}
+    assert found <= set(range(40, 60)) and len(found) >= 18
 
 
 # -- URL filter -----------------------------------------------------------
