@@ -34,18 +34,18 @@ CACHE_SCHEMA = "text_digest binary, tokenizer string, n_tokens bigint"
 
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
-    """Counts of a batch of texts by the library that the file belongs to."""
+    """Counts of a batch of texts by the library that the file belongs to; the ids of one text at a time are held."""
     if path.endswith(".model"):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda batch: [len(x) for x in sp.encode(batch, num_threads=1)]
+        return lambda batch: [len(sp.encode(x)) for x in batch]
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return lambda batch: [len(x.ids) for x in tok.encode_batch(batch, add_special_tokens=False)]
+    return lambda batch: [len(tok.encode(x, add_special_tokens=False)) for x in batch]
 
 
 def tokenizer_digest(path: str) -> str:

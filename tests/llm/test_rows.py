@@ -8,6 +8,7 @@ import os
 import random
 import re
 import tempfile
+import tracemalloc
 
 import duckdb
 import pytest
@@ -28,7 +29,7 @@ from funnel_engine.llm.secret_scan import (
     secret_spans,
 )
 from funnel_engine.llm.sentencepiece_codec import PieceCodec, encode_documents, encoding_digests, model_path
-from funnel_engine.llm.token_counts import read_cache, token_counts, tokenizer_digest
+from funnel_engine.llm.token_counts import _tokenizer, read_cache, token_counts, tokenizer_digest
 from funnel_engine.llm.url_filter import compiled, filter_urls
 
 LONG = "lorem " * 200_000
@@ -247,6 +248,23 @@ def test_token_counts_with_a_json_tokenizer(spark):
     assert got[1] == len(tok.encode("<|endoftext|> a", add_special_tokens=False).ids) and got[0] == 0
 
 
+def test_token_counts_hold_the_ids_of_one_text_at_a_time():
+    count = _tokenizer(model_path())
+    body = "".join(random.Random(4).choices("abcdefgh ", k=20_000))
+
+    def peak(n):
+        tracemalloc.start()
+        try:
+            got = count([body] * n)
+            return got, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    (one, low), (many, high) = peak(1), peak(64)
+    assert many == one * 64
+    assert high < 2 * low
+
+
 # -- secrets --------------------------------------------------------------
 
 
